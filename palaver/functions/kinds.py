@@ -75,6 +75,7 @@ def kind_name(kind: Column, names: Mapping[int, str]) -> Column:
     needs no join.
     """
     code = kind.try_cast("int")
-    table = F.create_map(*[F.lit(part) for entry in sorted(names.items()) for part in entry])
+    entries = ", ".join(f"{number}, '{name}'" for number, name in names.items())
+    table = F.expr(f"map({entries})")
     unknown = F.concat(F.lit("Unknown("), code.cast("string"), F.lit(")"))
     return F.when(code.isNull(), kind).otherwise(F.coalesce(F.try_element_at(table, code), unknown))

@@ -22,7 +22,7 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
 
     def view(self, name: str, columns: str = "*") -> DataFrame:
-        return self.spark.sql(f"{spark_views(self.sf_dir)} select {columns} from {name}")
+        return self.spark.sql(f"{spark_views(self.sf_dir, name)}select {columns} from {name}")
 
     def messages(self) -> DataFrame:
         """Landed messages as the parser would deliver them."""

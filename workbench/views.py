@@ -8,11 +8,13 @@ library and in ``oracle`` in SQL.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
-VIEWS = """
-base as (
+VIEWS: dict[str, str] = {
+    "base": """
   select event_id, user_id, event_type, props, {MS} as ms from {EVENTS}
-), one as (
+""",
+    "one": """
   select
     (ms - 1420070400000) * 4194304 + event_id as id,
     1 + event_id % 12 % 3 as guild_id,
@@ -45,14 +47,16 @@ base as (
       as message_reference,
     event_id as arrival_seq, ms
   from base
-), deliveries as (
+""",
+    "deliveries": """
   select * from one
   union all
   select id, guild_id, channel_id, author_id, username || 'x', null, discriminator, avatar, bot,
     webhook_id, edited_raw_ms, 'redelivered ' || content, tts, not pinned, kind, flags, mentions,
     attachments, embeds, components, reactions, message_reference, arrival_seq + 10000000, ms
   from one where arrival_seq % 6 = 0
-), authored as (
+""",
+    "authored": """
   select *,
     '{"id":"' || cast(author_id as string) || '","username":"' || username || '"'
       || coalesce(',"global_name":"' || global_name || '"', '')
@@ -61,7 +65,8 @@ base as (
       || case when bot is null then '' when bot then ',"bot":true' else ',"bot":false' end
       || '}' as author_json
   from deliveries
-), wire as (
+""",
+    "wire": """
   select *,
     '{"id":"' || cast(id as string) || '","guild_id":"' || cast(guild_id as string)
       || '","channel_id":"' || cast(channel_id as string) || '","author":' || author_json
@@ -76,7 +81,8 @@ base as (
       || coalesce(',"message_reference":' || message_reference, '')
       || ',"arrival_seq":' || cast(arrival_seq as string) || '}' as raw_json
   from authored
-), dirty as (
+""",
+    "dirty": """
   select *,
     case
       when arrival_seq % 97 = 5 then substr(raw_json, 1, length(raw_json) - 9)
@@ -85,9 +91,11 @@ base as (
       when arrival_seq % 83 = 11 then replace(raw_json, '"author":' || author_json, '"author":null')
       else raw_json end as line
   from wire
-), guild_base as (
+""",
+    "guild_base": """
   select 1 + event_id % 12 % 3 as id, count(*) as members from base group by 1
-), guild_wire as (
+""",
+    "guild_wire": """
   select *, '{"id":"' || cast(id as string) || '","name":"' || name || '","owner_id":"'
     || cast(owner_id as string) || '"' || coalesce(',"icon":"' || icon || '"', '')
     || coalesce(',"features":' || features, '') || ',"members":' || cast(members as string)
@@ -101,7 +109,8 @@ base as (
       case when id = 2 then null else '["F","G"]' end, members, cast(2 as bigint)
     from guild_base where id <> 1
   ) versions
-), guild_stored as (
+""",
+    "guild_stored": """
   select id, 'stored ' || cast(id as string) as name, 1 + id as owner_id, 'old' as icon,
     '[]' as features, '{}' as raw_json, cast(0 as bigint) as arrival_seq
   from guild_base where id < 3
@@ -109,10 +118,12 @@ base as (
   select 77, 'gone', null, 'old', '[]', '{}', cast(0 as bigint)
   union all
   select id, 'newer than the wire', id, null, '[]', '{}', cast(99 as bigint) from guild_base where id = 3
-), channel_base as (
+""",
+    "channel_base": """
   select 100 + event_id % 12 as id, min(1 + event_id % 12 % 3) as guild_id, count(*) as traffic
   from base group by 1
-), channel_wire as (
+""",
+    "channel_wire": """
   select *, '{"id":"' || cast(id as string) || '","guild_id":"' || cast(guild_id as string)
     || '","name":"' || name || '","kind":"' || kind || '"' || coalesce(',"topic":"' || topic || '"', '')
     || case when nsfw is null then '' when nsfw then ',"nsfw":true' else ',"nsfw":false' end
@@ -137,49 +148,52 @@ base as (
       null, id % 5 = 0, null, cast(id % 7 as int), traffic, cast(2 as bigint)
     from channel_base where id % 3 = 0
   ) versions
-), channel_lines as (
+""",
+    "channel_lines": """
   select *, case when id % 11 = 2 and arrival_seq = 1 then replace(raw_json, '{"id":"',
     '{"id":"x') else raw_json end as line
   from channel_wire
-), channel_stored as (
+""",
+    "channel_stored": """
   select id, 9 as guild_id, 'old' as name, 'Text' as kind, 'old topic' as topic, false as nsfw,
     9 as parent_id, cast(9 as int) as position, '{}' as raw_json, cast(0 as bigint) as arrival_seq
   from channel_base where id % 2 = 0
-), users_target as (
+""",
+    "users_target": """
   select distinct user_id as id, 'old' || cast(user_id as string) as username, 'old' as global_name,
     '1' as discriminator, 'old' as avatar, false as bot, '{}' as raw_json,
     cast(case when user_id % 8 = 0 then 90000000 else -1 end as bigint) as arrival_seq
   from base where user_id % 4 = 0
   union all
   select 999999, 'gone', 'old', null, null, false, '{}', cast(-1 as bigint)
-), spoken as (
+""",
+    "spoken": """
   select conv_id * 64 + turn as id, conv_id as channel_id, role <> 'user' as bot, text as content,
     turn as arrival_seq
   from {CONVERSATIONS}
-)
-"""
-
-MESSAGE_COLUMNS = (
-    "id, guild_id, channel_id, author_id, created_at_ms, edited_at_ms, content, tts, pinned, kind, "
-    "flags, mentions, attachments, embeds, components, reactions, message_reference, raw_json"
-)
-
-# Stored messages: the middle of the time range without each 11th and without one channel, with
-# another content than the wire, so that a stored row that was replaced shows.
-ARCHIVE = """
-stored_pick as (
+""",
+    # Stored messages: the middle of the time range without each 11th and without one channel, with
+    # another content than the wire, so that a stored row that was replaced shows.
+    "stored_pick": """
   select * from wire
   where arrival_seq < 10000000 and not coalesce(bot, false) and webhook_id is null
     and ms >= 1704672000000 and ms < 1705968000000 and arrival_seq % 11 <> 0 and channel_id <> 105
-), archive as (
+""",
+    "archive": """
   select id, guild_id, channel_id, author_id, ms as created_at_ms,
     edited_raw_ms - edited_raw_ms % 1000 as edited_at_ms,
     case when content = '' then null else 'stored ' || content end as content, tts, pinned, kind,
     cast(flags as bigint) as flags, coalesce(mentions, '[]') as mentions, attachments, embeds,
     components, reactions, message_reference, raw_json
   from stored_pick
+""",
+}
+
+
+MESSAGE_COLUMNS = (
+    "id, guild_id, channel_id, author_id, created_at_ms, edited_at_ms, content, tts, pinned, kind, "
+    "flags, mentions, attachments, embeds, components, reactions, message_reference, raw_json"
 )
-"""
 
 SPARK = {
     "MS": "unix_millis(cast(ts as timestamp))",
@@ -197,14 +211,28 @@ def _bind(text: str, values: dict[str, str]) -> str:
     return re.sub(r"\{(EVENTS|CONVERSATIONS|MS|ISO)\}", lambda hit: values[hit.group(1)], text)
 
 
-def spark_views(sf_dir: str) -> str:
-    """``with …`` text over the Parquet files of ``sf_dir``."""
+def _with(names: Iterable[str], values: dict[str, str]) -> str:
+    """``with`` text of the named views and the views they read, in the order of definition."""
+    needed: set[str] = set()
+    open_names = list(names)
+    while open_names:
+        name = open_names.pop()
+        if name not in needed:
+            needed.add(name)
+            open_names += [word for word in re.findall(r"\w+", VIEWS[name]) if word in VIEWS]
+    parts = [f"{name} as ({_bind(body, values)})" for name, body in VIEWS.items() if name in needed]
+    return "with " + ", ".join(parts) + " "
+
+
+def spark_views(sf_dir: str, *names: str) -> str:
+    """The named views over the Parquet files of ``sf_dir``."""
     tables = {
         "EVENTS": f"parquet.`{sf_dir}/events.parquet`",
         "CONVERSATIONS": f"parquet.`{sf_dir}/conversations.parquet`",
     }
-    return "with " + _bind(VIEWS.strip() + "," + ARCHIVE, {**SPARK, **tables})
+    return _with(names, {**SPARK, **tables})
 
 
 def duckdb_views() -> str:
-    return "with " + _bind(VIEWS.strip() + "," + ARCHIVE, DUCKDB)
+    """All views over the tables registered in DuckDB."""
+    return _with(VIEWS, DUCKDB)
