@@ -24,6 +24,16 @@ from palaver.sources.landed import MAX_BYTES_PER_TRIGGER
 GENERATION = StructType().add("generation", "long")
 
 
+def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
+    return spark.range(0).select(*columns)
+
+
+def _log_generation(spark: SparkSession, path: str, generation: int) -> None:
+    row = spark.range(1).select(F.lit(generation).cast("long").alias("generation"))
+    row.coalesce(1).write.mode("append").json(path)
+
+
 class KeyedTable:
     """Last-write-wins table: a snapshot plus appended changes, merged by ``arrival_seq`` on read.
 
@@ -38,8 +48,7 @@ class KeyedTable:
         self.schema = schema
 
     def create(self) -> None:
-        empty = self.spark.createDataFrame([], self.schema)
-        self._start(0, empty)
+        self._start(0, _no_rows(self.spark, self.schema))
 
     def generation(self) -> int:
         log = self.spark.read.schema(GENERATION).json(f"{self.path}/generations")
@@ -63,10 +72,9 @@ class KeyedTable:
 
     def _start(self, generation: int, snapshot: DataFrame) -> None:
         snapshot.write.mode("overwrite").parquet(f"{self.path}/snapshots/generation={generation}")
-        empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode("overwrite").parquet(f"{self.path}/changes/generation={generation}")
-        log = self.spark.createDataFrame([(generation,)], GENERATION)
-        log.coalesce(1).write.mode("append").json(f"{self.path}/generations")
+        no_changes = _no_rows(self.spark, self.schema)
+        no_changes.write.mode("overwrite").parquet(f"{self.path}/changes/generation={generation}")
+        _log_generation(self.spark, f"{self.path}/generations", generation)
 
     def _snapshot(self, generation: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(
@@ -92,7 +100,7 @@ class MessageTable:
         self.layout = StructType([*MESSAGES.fields]).add("created_date", DateType())
 
     def create(self) -> None:
-        self._write(self.spark.createDataFrame([], MESSAGES), "append")
+        self._write(_no_rows(self.spark, MESSAGES))
 
     def read(self) -> DataFrame:
         return self._days().drop("created_date")
@@ -102,7 +110,7 @@ class MessageTable:
         return insert_first(self._keys_on_days_of(batch), batch, batch_rows=batch_rows)
 
     def append(self, rows: DataFrame) -> None:
-        self._write(rows.select(*MESSAGES.fieldNames()), "append")
+        self._write(rows.select(*MESSAGES.fieldNames()))
 
     def channel(
         self, channel_id: int, before: int | None = None, after: int | None = None
@@ -127,13 +135,13 @@ class MessageTable:
         stored = self._days().select("id", "created_date")
         return stored.join(F.broadcast(days.distinct()), "created_date", "left_semi").select("id")
 
-    def _write(self, rows: DataFrame, mode: str) -> None:
+    def _write(self, rows: DataFrame) -> None:
         # Rebalancing brings a day together and lets AQE split a day that is too large for a task.
         (
             rows.withColumn("created_date", created_date(F.col("id")))
             .hint("rebalance", "created_date")
             .sortWithinPartitions("created_date", "channel_id", "id")
-            .write.mode(mode)
+            .write.mode("append")
             .partitionBy("created_date")
             .parquet(self.path)
         )
@@ -155,8 +163,7 @@ class Archive:
         if not self._exists():
             for table in (self.guilds, self.channels, self.users, self.messages):
                 table.create()
-            marker = self.spark.createDataFrame([(0,)], GENERATION)
-            marker.coalesce(1).write.mode("overwrite").json(f"{self.root}/created")
+            _log_generation(self.spark, f"{self.root}/created", 0)
         return self
 
     def _exists(self) -> bool:

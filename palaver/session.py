@@ -15,7 +15,8 @@ def recommended_conf(input_bytes: int = 0, cores: int = 8) -> dict[str, str]:
     """Settings for a job that shuffles about ``input_bytes``.
 
     The shuffle starts with enough partitions for ~128 MB each (at least two per core) and AQE
-    merges what turns out small and splits what turns out skewed.
+    merges what turns out small and splits what turns out skewed. Generated methods are kept below
+    8,000 bytes of bytecode: the JVM never compiles longer ones, and wide message rows reach that.
     """
     partitions = max(2 * cores, math.ceil(input_bytes / TARGET_SHUFFLE_BYTES))
     return {
@@ -27,6 +28,7 @@ def recommended_conf(input_bytes: int = 0, cores: int = 8) -> dict[str, str]:
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_SHUFFLE_BYTES),
         "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.shuffle.partitions": str(partitions),
     }
 

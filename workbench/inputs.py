@@ -18,6 +18,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         # The given event times have no zone and mean UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
