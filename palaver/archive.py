@@ -17,7 +17,9 @@ from pyspark.sql.types import DateType, StructType
 from palaver.functions.scalars import created_at_ms, created_date
 from palaver.operators import access, bounds, paging
 from palaver.operators.dedup import last_wins
+from palaver.operators.joins import MAX_BROADCAST_ROWS
 from palaver.operators.merge import insert_first
+from palaver.operators.projections import MESSAGE_ORDER
 from palaver.schemas import CHANNELS, GUILDS, MESSAGES, QUARANTINE, USERS
 from palaver.sources.landed import MAX_BYTES_PER_TRIGGER
 
@@ -107,7 +109,8 @@ class MessageTable:
 
     def absent(self, batch: DataFrame, batch_rows: int | None = None) -> DataFrame:
         """Rows of ``batch`` to append: the first of each id, if that id is not stored."""
-        return insert_first(self._keys_on_days_of(batch), batch, batch_rows=batch_rows)
+        stored = self._keys_on_days_of(batch)
+        return insert_first(stored, batch, order=MESSAGE_ORDER, batch_rows=batch_rows)
 
     def append(self, rows: DataFrame) -> None:
         self._write(rows.select(*MESSAGES.fieldNames()))
@@ -125,6 +128,13 @@ class MessageTable:
             rows = rows.where(F.col("created_date") >= created_date(F.lit(after)))
         return rows.drop("created_date")
 
+    def whole_rows(self, page: DataFrame, limit: int) -> DataFrame:
+        """The rows of a page of at most ``limit`` ids; only the days of the page are read."""
+        keys = page.select("id", created_date(F.col("id")).alias("created_date"))
+        if limit <= MAX_BROADCAST_ROWS:
+            keys = F.broadcast(keys)
+        return self._days().join(keys, ["created_date", "id"], "left_semi").drop("created_date")
+
     def _days(self) -> DataFrame:
         return self.spark.read.schema(self.layout).parquet(self.path)
 
@@ -178,6 +188,23 @@ class Archive:
     def checkpoint(self, feed: str) -> str:
         return f"{self.root}/checkpoints/{feed}"
 
+    def create_views(self) -> None:
+        """Temporary views ``guilds``, ``channels``, ``users`` and ``messages`` for SQL."""
+        self.guilds.read().createOrReplaceTempView("guilds")
+        self.channels.read().createOrReplaceTempView("channels")
+        self.users.read().createOrReplaceTempView("users")
+        self.messages.read().createOrReplaceTempView("messages")
+
+    def progress(self) -> DataFrame:
+        """Messages processed per batch and channel; ``processed`` counts known ones again."""
+        schema = StructType().add("channel_id", "long").add("processed", "long").add("batch_id", "long")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/progress")
+
+    def write_progress(self, batch_id: int, processed: DataFrame) -> None:
+        """A replayed batch replaces its own counts."""
+        target = f"{self.root}/progress/batch_id={batch_id}"
+        processed.coalesce(1).write.mode("overwrite").parquet(target)
+
     def quarantine(self, feed: str) -> DataFrame:
         """Rejected lines of a feed with the reason."""
         schema = StructType([*QUARANTINE.fields]).add("batch_id", "long")
@@ -189,6 +216,7 @@ class Archive:
         rows.select(*QUARANTINE.fieldNames()).write.mode("overwrite").parquet(target)
 
     def insert_messages(self, batch: DataFrame, batch_rows: int | None = None) -> None:
+        """Store what is absent; ``batch_rows`` is the size of the batch where it was counted."""
         self.messages.append(self.messages.absent(batch, batch_rows))
 
     def upsert_guilds(self, rows: DataFrame) -> None:
@@ -206,11 +234,21 @@ class Archive:
     def min_message_id_in_channel(self, channel_id: int) -> int | None:
         return bounds.min_message_id_in_channel(self.messages.read(), channel_id)
 
+    # Pages are found on the id column alone; then the few rows are read whole.
+
+    def page_latest(self, channel_id: int, limit: int = paging.MESSAGE_PAGE) -> DataFrame:
+        page = paging.page_latest(self.messages.channel(channel_id), channel_id, limit)
+        return self.messages.whole_rows(page, limit).orderBy(F.col("id").desc())
+
     def page_before(self, channel_id: int, before: int, limit: int = paging.MESSAGE_PAGE) -> DataFrame:
-        return paging.page_before(self.messages.channel(channel_id, before=before), channel_id, before, limit)
+        rows = self.messages.channel(channel_id, before=before)
+        page = paging.page_before(rows, channel_id, before, limit)
+        return self.messages.whole_rows(page, limit).orderBy(F.col("id").desc())
 
     def page_after(self, channel_id: int, after: int, limit: int = paging.MESSAGE_PAGE) -> DataFrame:
-        return paging.page_after(self.messages.channel(channel_id, after=after), channel_id, after, limit)
+        rows = self.messages.channel(channel_id, after=after)
+        page = paging.page_after(rows, channel_id, after, limit)
+        return self.messages.whole_rows(page, limit).orderBy("id")
 
     def timeline(self, channel_id: int) -> DataFrame:
         return access.channel_timeline(self.messages.channel(channel_id), channel_id)
@@ -221,6 +259,7 @@ class ArchiveConfig:
     """Where records land, where the archive lives, and how often to look for new files.
 
     ``landing`` holds the folders ``guilds``, ``channels`` and ``messages`` with JSON lines.
+    Changes of a keyed table are folded into its snapshot every ``compact_every`` batches.
     """
 
     landing: str
@@ -228,6 +267,7 @@ class ArchiveConfig:
     poll_interval_secs: int = 300
     max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER
     max_files_per_trigger: int | None = None
+    compact_every: int = 100
 
 
 class Archiver:

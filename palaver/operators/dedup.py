@@ -13,16 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranked_first(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+def _ranked_first(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def first_wins(df: DataFrame, key: str = "id", order: Sequence[str] = ("arrival_seq",)) -> DataFrame:
+def first_wins(
+    df: DataFrame, key: str | Sequence[str] = "id", order: Sequence[str] = ("arrival_seq",)
+) -> DataFrame:
     """The earliest row of each key."""
     return _ranked_first(df, key, [F.col(name).asc() for name in order])
 
 
-def last_wins(df: DataFrame, key: str = "id", order: Sequence[str] = ("arrival_seq",)) -> DataFrame:
+def last_wins(
+    df: DataFrame, key: str | Sequence[str] = "id", order: Sequence[str] = ("arrival_seq",)
+) -> DataFrame:
     """The latest row of each key, whole: its NULLs replace older values."""
     return _ranked_first(df, key, [F.col(name).desc() for name in order])

@@ -17,6 +17,11 @@ from palaver.functions.scalars import (
 )
 from palaver.schemas import JSON_LIST_COLUMNS
 
+# Order of the rows of one key. The second column settles equal arrival numbers the same way each
+# time, also when a task is run again.
+MESSAGE_ORDER = ("arrival_seq", "raw_json")
+USER_ORDER = ("arrival_seq", "message_id")
+
 
 def project_guilds(landed: DataFrame) -> DataFrame:
     return landed.select(

@@ -15,14 +15,14 @@ from palaver.operators.filters import human_authors, message_bearing
 from palaver.operators.joins import absent_rows, lookup_join
 from palaver.operators.merge import upsert_last
 from palaver.operators.projections import (
+    MESSAGE_ORDER,
+    USER_ORDER,
     project_channels,
     project_guilds,
     project_messages,
     project_users,
 )
 
-USER_ORDER = ("arrival_seq", "message_id")
-
 
 def guilds_after(target: DataFrame, landed_guilds: DataFrame) -> DataFrame:
     return upsert_last(target, project_guilds(landed_guilds))
@@ -43,10 +43,15 @@ def walk(landed_channels: DataFrame) -> DataFrame:
 def users_after(
     target: DataFrame, landed_messages: DataFrame, walk: DataFrame, walk_rows: int | None = None
 ) -> DataFrame:
-    """``target`` and the newest version of each author met on the walk."""
+    """``target`` and the newest version of each author met on the walk.
+
+    Authors are first reduced to one row per channel, before any shuffle, so the join with the walk
+    moves (author, channel) pairs and not messages.
+    """
     human = human_authors(landed_messages)
     authors = project_users(human.withColumn("channel_id", signed_id(F.col("channel_id"))), "channel_id")
-    met = lookup_join(authors, walk, "channel_id", "message_id", "left_semi", walk_rows)
+    per_channel = last_wins(authors, ("id", "channel_id"), USER_ORDER)
+    met = lookup_join(per_channel, walk, "channel_id", "id", "left_semi", walk_rows)
     return upsert_last(target, last_wins(met.drop("channel_id"), order=USER_ORDER))
 
 
@@ -57,7 +62,7 @@ def messages_after(
 
     The walk is joined last, when only missing rows are left.
     """
-    first = first_wins(project_messages(human_authors(landed_messages)))
+    first = first_wins(project_messages(human_authors(landed_messages)), order=MESSAGE_ORDER)
     missing = absent_rows(first, archive)
     met = lookup_join(missing, walk, "channel_id", "id", "inner", walk_rows)
     rows = met.withColumn("guild_id", F.col("walk_guild_id"))

@@ -75,7 +75,7 @@ def _parse(lines: DataFrame, schema: StructType) -> DataFrame:
     # As a generator the parse is one plan node: filters on its columns are not rewritten into a
     # second parse of the same text below it.
     body = StructType([*schema.fields]).add(CORRUPT, StringType())
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "timeZone": "UTC"}
     return lines.where(F.trim("value") != "").select(
         F.col("value").alias("raw_json"),
         "source_file",

@@ -12,11 +12,13 @@ from typing import TYPE_CHECKING
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palaver.operators.dedup import last_wins
 from palaver.operators.filters import human_authors, message_bearing
 from palaver.operators.projections import (
+    USER_ORDER,
     project_channels,
     project_guilds,
     project_messages,
@@ -38,8 +40,6 @@ log = logging.getLogger(__name__)
 
 Batch = Callable[[DataFrame, int], None]
 
-USER_ORDER = ("arrival_seq", "message_id")
-
 
 def guild_batch(archive: Archive) -> Batch:
     def apply(lines: DataFrame, batch_id: int) -> None:
@@ -65,12 +65,15 @@ def message_batch(archive: Archive) -> Batch:
     def apply(lines: DataFrame, batch_id: int) -> None:
         parsed = parse_messages(lines).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            human = human_authors(usable(parsed))
-            processed = human.count()
             archive.write_quarantine("messages", batch_id, rejected(parsed))
+            human = human_authors(usable(parsed))
+            rows = project_messages(human)
+            processed = rows.groupBy("channel_id").agg(F.count(F.lit(1)).alias("processed"))
+            archive.write_progress(batch_id, processed)
+            total = human.count()
             archive.upsert_users(last_wins(project_users(human), order=USER_ORDER))
-            archive.insert_messages(project_messages(human), batch_rows=processed)
-            log.info("batch %d: %d messages processed", batch_id, processed)
+            archive.insert_messages(rows, batch_rows=total)
+            log.info("batch %d: %d messages processed", batch_id, total)
         finally:
             parsed.unpersist()
 
@@ -85,6 +88,19 @@ FEEDS: dict[str, Callable[[Archive], Batch]] = {
 }
 
 
+def compacting(archive: Archive, feed: str, every: int) -> Batch:
+    """The batch function of a feed, with a compaction of its keyed table every so many batches."""
+    apply = FEEDS[feed](archive)
+    table = {"guilds": archive.guilds, "channels": archive.channels, "messages": archive.users}[feed]
+
+    def apply_and_compact(lines: DataFrame, batch_id: int) -> None:
+        apply(lines, batch_id)
+        if (batch_id + 1) % every == 0:
+            table.compact()
+
+    return apply_and_compact
+
+
 def start_feed(archive: Archive, config: ArchiveConfig, feed: str, once: bool) -> StreamingQuery:
     """Start the query of one feed: up to what has landed, or at each poll interval."""
     lines = stream_lines(
@@ -96,7 +112,7 @@ def start_feed(archive: Archive, config: ArchiveConfig, feed: str, once: bool) -
     writer = (
         lines.writeStream.queryName(f"archive-{feed}")
         .option("checkpointLocation", archive.checkpoint(feed))
-        .foreachBatch(FEEDS[feed](archive))
+        .foreachBatch(compacting(archive, feed, config.compact_every))
     )
     if once:
         return writer.trigger(availableNow=True).start()

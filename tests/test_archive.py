@@ -85,6 +85,9 @@ def test_bounds_and_pages_on_the_table(archive, rows):
     assert archive.min_message_id_in_channel(10) == DAY * ID_STEP
     assert archive.max_message_id_in_channel(10) == 7 * DAY * ID_STEP
     assert archive.max_message_id_in_channel(11) is None
+    page = archive.page_latest(10, limit=3).collect()
+    assert [r.id // ID_STEP // DAY for r in page] == [7, 6, 5]
+    assert [r.content for r in page] == [f"text {n * DAY}" for n in (7, 6, 5)]
     page = archive.page_before(10, 4 * DAY * ID_STEP, limit=2).collect()
     assert [r.id // ID_STEP // DAY for r in page] == [3, 2]
     page = archive.page_after(10, 4 * DAY * ID_STEP, limit=2).collect()

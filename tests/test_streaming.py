@@ -45,6 +45,10 @@ def test_passes_fill_the_archive_and_restart_where_they_stopped(archiver, land):
     assert [r.id for r in run.archive.channels.read().collect()] == [10]
     assert [r.raw_json for r in run.archive.quarantine("messages").collect()] == ["broken"]
 
+    assert [tuple(r) for r in run.archive.progress().collect()] == [(10, 2, 0)]
+    run.archive.create_views()
+    assert run.spark.sql("select count(*) from messages join users on author_id = users.id").first()[0] == 2
+
     run.run_once()
     # Late, repeated, changed and bot messages; one of a channel that was never polled.
     land(
@@ -104,6 +108,15 @@ def test_a_replayed_batch_changes_nothing(spark, archiver, land):
     assert run.archive.quarantine("messages").count() == 1
 
 
+def test_feeds_compact_now_and_then(archiver, land):
+    for n in range(4):
+        land([message(n, **user(7, f"v{n}"))], "landing/messages")
+    run = archiver(max_files_per_trigger=1, compact_every=3)
+    run.run_once()
+    assert run.archive.users.generation() == 1
+    assert state(run.archive) == ({n: f"text {n}" for n in range(4)}, {7: "v3"})
+
+
 def test_polling_picks_up_new_files(archiver, land):
     run = archiver(poll_interval_secs=0)
     queries = run.run_forever()

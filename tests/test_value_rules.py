@@ -103,6 +103,8 @@ def test_message_defaults(spark, landed):
     row = one(project_messages(human_authors(usable(parse_messages(landed([bare]))))))
     assert (row["tts"], row["pinned"], row["guild_id"], row["content"]) == (False, False, None, None)
     assert row["message_reference"] is None
+    null_reference = message(1, message_reference=None)
+    assert one(project_messages(usable(parse_messages(landed([null_reference])))))["message_reference"] is None
 
 
 def test_walk_guild_replaces_the_message_guild(spark, landed):

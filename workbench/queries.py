@@ -20,6 +20,7 @@ from palaver.operators.dedup import first_wins, last_wins
 from palaver.operators.filters import human_authors, message_bearing
 from palaver.operators.merge import insert_first, upsert_last
 from palaver.operators.projections import (
+    USER_ORDER,
     project_channels,
     project_guilds,
     project_messages,
@@ -268,7 +269,7 @@ def message_bearing_channels(given: Inputs) -> DataFrame:
 
 @query("users_dedup_last")
 def users_dedup_last(given: Inputs) -> DataFrame:
-    return last_wins(project_users(human_authors(given.messages())), order=sync.USER_ORDER)
+    return last_wins(project_users(human_authors(given.messages())), order=USER_ORDER)
 
 
 @query("messages_dedup_first")
