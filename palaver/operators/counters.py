@@ -13,53 +13,43 @@ from palaver.operators.joins import lookup_join
 from palaver.operators.paging import MESSAGE_PAGE
 
 
-def rows_read_per_phase(source: DataFrame, archive: DataFrame) -> DataFrame:
-    """``channel_id, is_human, source_rows, backfill_rows, catch_up_rows`` in one scan of ``source``.
+# SQL over a row placed between the bounds of its channel.
+BELOW = "lo is null or id < lo"
+ABOVE = "id > hi"
 
-    ``source`` has one row per message with ``id, channel_id, is_human``. Counting happens on the
-    partial sums of (channel, below / inside / above), so no task sees a whole channel.
-    """
-    placed = lookup_join(source, channel_bounds(archive), "channel_id", "id")
-    below = F.col("lo").isNull() | (F.col("id") < F.col("lo"))
-    return placed.groupBy("channel_id", "is_human").agg(
-        F.count(F.lit(1)).alias("source_rows"),
-        F.count_if(below).alias("backfill_rows"),
-        F.count_if(F.col("id") > F.col("hi")).alias("catch_up_rows"),
-    )
 
-
-def processed_counts(source: DataFrame, archive: DataFrame, missing: DataFrame) -> DataFrame:
+def processed_counts(source: DataFrame, archive: DataFrame) -> DataFrame:
     """Per channel: human rows touched by each phase, their sum, and rows really inserted.
 
     The sweep touches every row again, so ``processed`` counts a row twice when two phases read it.
+    ``source`` has one row per message with ``id, channel_id, is_human`` and is read once.
     """
-    read = rows_read_per_phase(source, archive).where("is_human")
-    inserted = missing.groupBy("channel_id").agg(F.count(F.lit(1)).alias("inserted"))
-    return read.join(inserted, "channel_id", "left").select(
-        "channel_id",
-        F.col("backfill_rows").alias("backfill_processed"),
-        F.col("catch_up_rows").alias("catch_up_processed"),
-        F.col("source_rows").alias("sweep_processed"),
-        (F.col("backfill_rows") + F.col("catch_up_rows") + F.col("source_rows")).alias("processed"),
-        F.coalesce("inserted", F.lit(0)).alias("inserted"),
+    stored = archive.select("id", F.lit(True).alias("stored"))
+    human = source.where("is_human").join(stored, "id", "left")
+    counts = lookup_join(human, channel_bounds(archive), "channel_id", "id").groupBy("channel_id").agg(
+        F.count_if(F.expr(BELOW)).alias("backfill_processed"),
+        F.count_if(F.expr(ABOVE)).alias("catch_up_processed"),
+        F.count(F.lit(1)).alias("sweep_processed"),
+        F.count_if(F.col("stored").isNull()).alias("inserted"),
     )
+    total = F.col("backfill_processed") + F.col("catch_up_processed") + F.col("sweep_processed")
+    return counts.withColumn("processed", total)
 
 
 def page_counts(source: DataFrame, archive: DataFrame, page: int = MESSAGE_PAGE) -> DataFrame:
     """Per channel: non-empty pages each phase reads. Pages hold bot rows too."""
-
-    def pages(rows: str):
-        return F.expr(f"(sum({rows}) + {page - 1}) div {page}")
-
-    return (
-        rows_read_per_phase(source, archive)
-        .groupBy("channel_id")
-        .agg(
-            F.sum("source_rows").alias("source_rows"),
-            pages("backfill_rows").alias("backfill_pages"),
-            pages("catch_up_rows").alias("catch_up_pages"),
-            pages("source_rows").alias("sweep_pages"),
-        )
+    rows = lookup_join(source, channel_bounds(archive), "channel_id", "id")
+    counts = rows.groupBy("channel_id").agg(
+        F.count(F.lit(1)).alias("source_rows"),
+        F.count_if(F.expr(BELOW)).alias("backfill_rows"),
+        F.count_if(F.expr(ABOVE)).alias("catch_up_rows"),
+    )
+    return counts.select(
+        "channel_id",
+        "source_rows",
+        F.expr(f"(backfill_rows + {page - 1}) div {page}").alias("backfill_pages"),
+        F.expr(f"(catch_up_rows + {page - 1}) div {page}").alias("catch_up_pages"),
+        F.expr(f"(source_rows + {page - 1}) div {page}").alias("sweep_pages"),
     )
 
 

@@ -51,7 +51,10 @@ def project_channels(landed: DataFrame) -> DataFrame:
 
 
 def project_users(landed: DataFrame, *kept: str) -> DataFrame:
-    """One row per message: its author, ``message_id`` for breaking ties, and columns ``kept``."""
+    """One row per message: its author, ``message_id`` for breaking ties, and columns ``kept``.
+
+    The author's own JSON is cut out of the record here, as only users need it.
+    """
     return landed.select(
         signed_id(F.col("author_id")).alias("id"),
         "username",
@@ -59,7 +62,7 @@ def project_users(landed: DataFrame, *kept: str) -> DataFrame:
         discriminator_text(F.col("discriminator")).alias("discriminator"),
         "avatar",
         flag(F.col("bot")).alias("bot"),
-        F.col("author_json").alias("raw_json"),
+        F.get_json_object("raw_json", "$.author").alias("raw_json"),
         "arrival_seq",
         signed_id(F.col("id")).alias("message_id"),
         *kept,

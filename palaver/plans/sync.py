@@ -6,6 +6,8 @@ of other channels are not taken and the guild of a message is the guild of the w
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ from palaver.operators.projections import (
     project_messages,
     project_users,
 )
+from palaver.sources.landed import parse_channels, parse_guilds, parse_messages, usable
+
+if TYPE_CHECKING:
+    from palaver.archive import Archive
 
 
 def guilds_after(target: DataFrame, landed_guilds: DataFrame) -> DataFrame:
@@ -40,10 +46,10 @@ def walk(landed_channels: DataFrame) -> DataFrame:
     )
 
 
-def users_after(
-    target: DataFrame, landed_messages: DataFrame, walk: DataFrame, walk_rows: int | None = None
+def users_met(
+    landed_messages: DataFrame, walk: DataFrame, walk_rows: int | None = None
 ) -> DataFrame:
-    """``target`` and the newest version of each author met on the walk.
+    """The newest version of each author met on the walk.
 
     Authors are first reduced to one row per channel, before any shuffle, so the join with the walk
     moves (author, channel) pairs and not messages.
@@ -52,18 +58,40 @@ def users_after(
     authors = project_users(human.withColumn("channel_id", signed_id(F.col("channel_id"))), "channel_id")
     per_channel = last_wins(authors, ("id", "channel_id"), USER_ORDER)
     met = lookup_join(per_channel, walk, "channel_id", "id", "left_semi", walk_rows)
-    return upsert_last(target, last_wins(met.drop("channel_id"), order=USER_ORDER))
+    return last_wins(met.drop("channel_id"), order=USER_ORDER)
 
 
-def messages_after(
-    archive: DataFrame, landed_messages: DataFrame, walk: DataFrame, walk_rows: int | None = None
-) -> DataFrame:
+def with_walk_guild(rows: DataFrame, walk: DataFrame, walk_rows: int | None = None) -> DataFrame:
+    """Message rows of the channels walked, with the guild of the walk as theirs."""
+    met = lookup_join(rows, walk, "channel_id", "id", "inner", walk_rows)
+    return met.withColumn("guild_id", F.col("walk_guild_id")).drop("walk_guild_id")
+
+
+def users_after(target: DataFrame, landed_messages: DataFrame, walk: DataFrame) -> DataFrame:
+    """``target`` and the authors met on the walk."""
+    return upsert_last(target, users_met(landed_messages, walk))
+
+
+def messages_after(archive: DataFrame, landed_messages: DataFrame, walk: DataFrame) -> DataFrame:
     """``archive`` and the first delivery of each human message of the walk that it lacks.
 
     The walk is joined last, when only missing rows are left.
     """
     first = first_wins(project_messages(human_authors(landed_messages)), order=MESSAGE_ORDER)
-    missing = absent_rows(first, archive)
-    met = lookup_join(missing, walk, "channel_id", "id", "inner", walk_rows)
-    rows = met.withColumn("guild_id", F.col("walk_guild_id"))
+    rows = with_walk_guild(absent_rows(first, archive), walk)
     return archive.unionByName(rows.select(*archive.columns))
+
+
+def run_pass(
+    archive: Archive, guild_lines: DataFrame, channel_lines: DataFrame, message_lines: DataFrame
+) -> None:
+    """Write a polled pass: guilds, channels, then the authors and messages of the walk."""
+    archive.upsert_guilds(project_guilds(usable(parse_guilds(guild_lines))))
+    channels = usable(parse_channels(channel_lines))
+    archive.upsert_channels(project_channels(message_bearing(channels)))
+    walked = walk(channels)
+    walk_rows = walked.count()
+    messages = usable(parse_messages(message_lines))
+    archive.upsert_users(users_met(messages, walked, walk_rows))
+    absent = archive.messages.absent(project_messages(human_authors(messages)))
+    archive.messages.append(with_walk_guild(absent, walked, walk_rows))

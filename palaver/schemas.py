@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql.types import StructType
 
 
-def _struct(required: str = "", **types: str) -> StructType:
+def _struct(required: str = "", **types: str | StructType) -> StructType:
     """Fields in the order given; those named in ``required`` are not nullable."""
     schema = StructType()
-    for name, type_name in types.items():
-        schema.add(name, type_name, nullable=name not in required.split())
+    for name, data_type in types.items():
+        schema.add(name, data_type, nullable=name not in required.split())
     return schema
 
 
@@ -40,11 +40,20 @@ LANDED_CHANNEL = _struct(
     arrival_seq="long",
 )
 
+LANDED_AUTHOR = _struct(
+    id="string",
+    username="string",
+    global_name="string",
+    discriminator="string",
+    avatar="string",
+    bot="boolean",
+)
+
 LANDED_MESSAGE = _struct(
     id="string",
     guild_id="string",
     channel_id="string",
-    author="string",
+    author=LANDED_AUTHOR,
     webhook_id="string",
     edited_timestamp="timestamp",
     content="string",
@@ -61,15 +70,6 @@ LANDED_MESSAGE = _struct(
     arrival_seq="long",
 )
 
-LANDED_AUTHOR = _struct(
-    id="string",
-    username="string",
-    global_name="string",
-    discriminator="string",
-    avatar="string",
-    bot="boolean",
-)
-
 # Stored tables. ``arrival_seq`` is bookkeeping beside the guild, channel and user columns.
 GUILDS = _struct(
     "id raw_json arrival_seq",

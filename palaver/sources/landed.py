@@ -48,12 +48,12 @@ def parse_channels(lines: DataFrame) -> DataFrame:
 
 
 def parse_messages(lines: DataFrame) -> DataFrame:
-    """Author fields come out flat, next to ``author_json``, the author's own JSON text."""
-    messages = _parse(lines, LANDED_MESSAGE).withColumnRenamed("author", "author_json")
-    names = ["author_id" if name == "id" else name for name in LANDED_AUTHOR.fieldNames()]
-    author = F.inline(F.array(F.from_json("author_json", LANDED_AUTHOR))).alias(*names)
+    """Author fields come out flat; the author's id is ``author_id``."""
+    names = LANDED_AUTHOR.fieldNames()
+    flat = [F.col(f"author.{n}").alias("author_id" if n == "id" else n) for n in names]
+    messages = _parse(lines, LANDED_MESSAGE).select("*", *flat).drop("author")
     return _with_reason(
-        messages.select("*", author),
+        messages,
         required=("id", "channel_id", "author_id"),
         optional=("guild_id", "webhook_id"),
     )

@@ -59,8 +59,7 @@ def test_counters(spark):
         "id bigint, channel_id bigint, is_human boolean",
     )
     archive = spark.createDataFrame([(100, 1), (150, 1)], "id bigint, channel_id bigint")
-    missing = history.missing_messages(source.where("is_human"), archive)
-    rows = {r.channel_id: r for r in counters.processed_counts(source, archive, missing).collect()}
+    rows = {r.channel_id: r for r in counters.processed_counts(source, archive).collect()}
     assert rows[1].backfill_processed == 50 and rows[1].catch_up_processed == 49
     assert rows[1].sweep_processed == 125 and rows[1].processed == 224 and rows[1].inserted == 123
     assert rows[2].backfill_processed == 100 and rows[2].processed == 200 and rows[2].inserted == 100

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ from workbench.views import MESSAGE_COLUMNS, spark_views
 REDELIVERED_FROM = 10_000_000
 
 
+@lru_cache(maxsize=64)
+def _view(spark: SparkSession, sql: str) -> DataFrame:
+    """The analyzed plan of a view is kept, its rows are not."""
+    return spark.sql(sql)
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         # The given event times have no zone and mean UTC.
@@ -23,7 +31,7 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
 
     def view(self, name: str, columns: str = "*") -> DataFrame:
-        return self.spark.sql(f"{spark_views(self.sf_dir, name)}select {columns} from {name}")
+        return _view(self.spark, f"{spark_views(self.sf_dir, name)}select {columns} from {name}")
 
     def messages(self) -> DataFrame:
         """Landed messages as the parser would deliver them."""
@@ -35,7 +43,7 @@ class Inputs:
             F.col("webhook_id").cast("string").alias("webhook_id"),
             F.timestamp_millis("edited_raw_ms").alias("edited_timestamp"),
             F.col("flags").cast("bigint").alias("flags"),
-            *"username global_name discriminator avatar bot author_json content tts pinned kind "
+            *"username global_name discriminator avatar bot content tts pinned kind "
             "mentions attachments embeds components reactions message_reference arrival_seq "
             "raw_json".split(),
         )

@@ -76,7 +76,7 @@ LANDED_CHANNEL = f"""select cast(id as varchar) as id, cast(guild_id as varchar)
 LANDED_MESSAGE = f"""select cast(id as varchar) as id, cast(guild_id as varchar) as guild_id,
   cast(channel_id as varchar) as channel_id, cast(author_id as varchar) as author_id,
   cast(webhook_id as varchar) as webhook_id, edited_raw_ms, cast(flags as bigint) as flags, username,
-  global_name, discriminator, avatar, bot, author_json, content, tts, pinned, kind, mentions,
+  global_name, discriminator, avatar, bot, content, tts, pinned, kind, mentions,
   attachments, embeds, components, reactions, message_reference, arrival_seq, line as raw_json
   from dirty where {GOOD}"""
 

@@ -355,9 +355,7 @@ def _flagged(given: Inputs) -> DataFrame:
 
 @query("processed_counts")
 def processed_counts(given: Inputs) -> DataFrame:
-    source, archive = _flagged(given), given.archive()
-    missing = history.missing_messages(source.where("is_human"), archive)
-    return counters.processed_counts(source, archive, missing)
+    return counters.processed_counts(_flagged(given), given.archive())
 
 
 @query("page_counts")
