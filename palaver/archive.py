@@ -21,7 +21,8 @@ from palaver.operators.joins import MAX_BROADCAST_ROWS
 from palaver.operators.merge import insert_first
 from palaver.operators.projections import MESSAGE_ORDER
 from palaver.schemas import CHANNELS, GUILDS, MESSAGES, QUARANTINE, USERS
-from palaver.sources.landed import MAX_BYTES_PER_TRIGGER
+from palaver.sources.landed import MAX_BYTES_PER_TRIGGER, ensure_folder
+from palaver.streaming.live import FEEDS, start_feed
 
 GENERATION = StructType().add("generation", "long")
 
@@ -203,7 +204,7 @@ class Archive:
     def write_progress(self, batch_id: int, processed: DataFrame) -> None:
         """A replayed batch replaces its own counts."""
         target = f"{self.root}/progress/batch_id={batch_id}"
-        processed.coalesce(1).write.mode("overwrite").parquet(target)
+        processed.write.mode("overwrite").parquet(target)
 
     def quarantine(self, feed: str) -> DataFrame:
         """Rejected lines of a feed with the reason."""
@@ -259,7 +260,9 @@ class ArchiveConfig:
     """Where records land, where the archive lives, and how often to look for new files.
 
     ``landing`` holds the folders ``guilds``, ``channels`` and ``messages`` with JSON lines.
-    Changes of a keyed table are folded into its snapshot every ``compact_every`` batches.
+    Changes of a keyed table are folded into its snapshot every ``compact_every`` batches. A file
+    is known by its path for ``max_file_age`` before the newest file; one landed with an older
+    modification time than that would be passed over, so the age is generous.
     """
 
     landing: str
@@ -267,6 +270,7 @@ class ArchiveConfig:
     poll_interval_secs: int = 300
     max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER
     max_files_per_trigger: int | None = None
+    max_file_age: str = "365d"
     compact_every: int = 100
 
 
@@ -277,16 +281,14 @@ class Archiver:
         self.spark = spark
         self.config = config
         self.archive = Archive(spark, config.root).bootstrap()
+        for feed in FEEDS:
+            ensure_folder(spark, f"{config.landing.rstrip('/')}/{feed}")
 
     def run_once(self) -> None:
         """Everything landed so far: guilds, then channels, then messages with their authors."""
-        from palaver.streaming.live import FEEDS, start_feed
-
         for feed in FEEDS:
             start_feed(self.archive, self.config, feed, once=True).awaitTermination()
 
     def run_forever(self) -> list[StreamingQuery]:
         """Start one query per feed that looks for new files at the poll interval."""
-        from palaver.streaming.live import FEEDS, start_feed
-
         return [start_feed(self.archive, self.config, feed, once=False) for feed in FEEDS]

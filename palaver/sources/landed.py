@@ -6,6 +6,7 @@ lacks a usable id, keeps its text and gets a ``reject_reason``; good lines are n
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -22,14 +23,25 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return _with_file(spark.read.option("recursiveFileLookup", "true").text(path))
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Make an empty landing folder where there is none, as a stream needs one to watch."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.range(0).select(F.lit("").alias("value")).write.mode("append").text(path)
+
+
 def stream_lines(
     spark: SparkSession,
     path: str,
     max_bytes: int = MAX_BYTES_PER_TRIGGER,
     max_files: int | None = None,
+    max_file_age: str = "365d",
 ) -> DataFrame:
     """The same as a stream of new files; a trigger takes a bounded amount of them."""
-    reader = spark.readStream.option("recursiveFileLookup", "true")
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFileAge", max_file_age)
     if max_files is None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     else:

@@ -108,6 +108,7 @@ def start_feed(archive: Archive, config: ArchiveConfig, feed: str, once: bool) -
         f"{config.landing.rstrip('/')}/{feed}",
         config.max_bytes_per_trigger,
         config.max_files_per_trigger,
+        config.max_file_age,
     )
     writer = (
         lines.writeStream.queryName(f"archive-{feed}")

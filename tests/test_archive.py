@@ -63,6 +63,22 @@ def test_one_partition_per_utc_day(archive, rows):
     assert days == ["created_date=2015-01-01", "created_date=2015-01-02"]
 
 
+def test_a_hot_day_is_split_over_tasks(spark, archive, rows):
+    hot = [message(n, content="x" * 400) for n in range(4000)]
+    cold = [message(n * DAY) for n in range(1, 4)]
+    batch = project_messages(rows(hot + cold)).repartition(8)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64k")
+        archive.messages.append(batch)
+    finally:
+        spark.conf.set(key, before)
+    files = {p.name: len(list(p.glob("part-*"))) for p in Path(archive.messages.path).glob("created_date=*")}
+    assert files["created_date=2015-01-01"] > 1 and files["created_date=2015-01-03"] == 1
+    assert len(contents(archive)) == 4003
+
+
 def test_upserts_merge_on_read_and_survive_compaction(archive, rows):
     def users(*names):
         records = [message(seq, author={"id": "7", "username": name}) for seq, name in names]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 
 from palaver.archive import ArchiveConfig, Archiver
@@ -11,8 +14,6 @@ from tests.conftest import ID_STEP, message
 @pytest.fixture
 def archiver(spark, tmp_path):
     def make(name="tables", **options):
-        for feed in ("guilds", "channels", "messages"):
-            (tmp_path / "landing" / feed).mkdir(parents=True, exist_ok=True)
         config = ArchiveConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / name), **options)
         return Archiver(spark, config)
 
@@ -117,6 +118,18 @@ def test_feeds_compact_now_and_then(archiver, land):
     assert state(run.archive) == ({n: f"text {n}" for n in range(4)}, {7: "v3"})
 
 
+def test_files_with_an_old_modification_time_are_taken(archiver, land, tmp_path):
+    land([message(1)], "landing/messages")
+    run = archiver()
+    run.run_once()
+    land([message(2)], "landing/messages/restored")
+    month_ago = time.time() - 30 * 24 * 3600
+    for path in (tmp_path / "landing/messages/restored").iterdir():
+        os.utime(path, (month_ago, month_ago))
+    run.run_once()
+    assert set(state(run.archive)[0]) == {1, 2}
+
+
 def test_polling_picks_up_new_files(archiver, land):
     run = archiver(poll_interval_secs=0)
     queries = run.run_forever()

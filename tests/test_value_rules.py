@@ -35,6 +35,11 @@ def test_creation_time_is_an_unsigned_shift(spark):
     assert got == [1420070400000, 1420070400001, 1420070400005, 1420070400000 + 4398046511103]
 
 
+def test_creation_time_as_a_timestamp(spark):
+    got = values(spark, lambda x: scalars.created_at(x).cast("string"), [1500 * ID_STEP], "bigint")
+    assert got == ["2015-01-01 00:00:01.5"]
+
+
 def test_creation_day_does_not_depend_on_the_session_zone(spark):
     last_ms = 86_400_000 - 1
     ids = [0, last_ms * ID_STEP, (last_ms + 1) * ID_STEP]
