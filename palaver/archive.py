@@ -20,7 +20,8 @@ from palaver.operators.dedup import last_wins
 from palaver.operators.joins import MAX_BROADCAST_ROWS
 from palaver.operators.merge import insert_first
 from palaver.operators.projections import MESSAGE_ORDER
-from palaver.schemas import CHANNELS, GUILDS, MESSAGES, QUARANTINE, USERS
+from palaver.schemas import CHANNELS, GUILDS, MESSAGES, PROGRESS, QUARANTINE, USERS
+from palaver.session import path_missing
 from palaver.sources.landed import MAX_BYTES_PER_TRIGGER, ensure_folder
 from palaver.streaming.live import FEEDS, start_feed
 
@@ -108,9 +109,15 @@ class MessageTable:
     def read(self) -> DataFrame:
         return self._days().drop("created_date")
 
-    def absent(self, batch: DataFrame, batch_rows: int | None = None) -> DataFrame:
-        """Rows of ``batch`` to append: the first of each id, if that id is not stored."""
-        stored = self._keys_on_days_of(batch)
+    def absent(
+        self, batch: DataFrame, batch_rows: int | None = None, all_days: bool = False
+    ) -> DataFrame:
+        """Rows of ``batch`` to append: the first of each id, if that id is not stored.
+
+        Finding the days of a batch reads it once more. With ``all_days`` it is taken to reach over
+        the whole history, and the stored ids of all days are read instead.
+        """
+        stored = self._days().select("id") if all_days else self._keys_on_days_of(batch)
         return insert_first(stored, batch, order=MESSAGE_ORDER, batch_rows=batch_rows)
 
     def append(self, rows: DataFrame) -> None:
@@ -178,14 +185,23 @@ class Archive:
         return self
 
     def _exists(self) -> bool:
-        found = self.spark.read.schema(GENERATION).format("json")
         try:
-            return not found.load(f"{self.root}/created").isEmpty()
+            return not self.spark.read.schema(GENERATION).json(f"{self.root}/created").isEmpty()
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
+            if path_missing(error):
                 return False
             raise
 
+    def _batches(self, folder: str, fields: StructType) -> DataFrame:
+        """Rows written per batch; none before the first batch."""
+        schema = StructType([*fields]).add("batch_id", "long")
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+        except AnalysisException as error:
+            if path_missing(error):
+                return _no_rows(self.spark, schema)
+            raise
+
     def checkpoint(self, feed: str) -> str:
         return f"{self.root}/checkpoints/{feed}"
 
@@ -198,8 +214,7 @@ class Archive:
 
     def progress(self) -> DataFrame:
         """Messages processed per batch and channel; ``processed`` counts known ones again."""
-        schema = StructType().add("channel_id", "long").add("processed", "long").add("batch_id", "long")
-        return self.spark.read.schema(schema).parquet(f"{self.root}/progress")
+        return self._batches("progress", PROGRESS)
 
     def write_progress(self, batch_id: int, processed: DataFrame) -> None:
         """A replayed batch replaces its own counts."""
@@ -208,8 +223,7 @@ class Archive:
 
     def quarantine(self, feed: str) -> DataFrame:
         """Rejected lines of a feed with the reason."""
-        schema = StructType([*QUARANTINE.fields]).add("batch_id", "long")
-        return self.spark.read.schema(schema).parquet(f"{self.root}/quarantine/{feed}")
+        return self._batches(f"quarantine/{feed}", QUARANTINE)
 
     def write_quarantine(self, feed: str, batch_id: int, rows: DataFrame) -> None:
         """A replayed batch replaces its own lines."""

@@ -85,7 +85,10 @@ def messages_after(archive: DataFrame, landed_messages: DataFrame, walk: DataFra
 def run_pass(
     archive: Archive, guild_lines: DataFrame, channel_lines: DataFrame, message_lines: DataFrame
 ) -> None:
-    """Write a polled pass: guilds, channels, then the authors and messages of the walk."""
+    """Write a polled pass: guilds, channels, then the authors and messages of the walk.
+
+    A pass reads channels from end to end, so its messages are compared with all days.
+    """
     archive.upsert_guilds(project_guilds(usable(parse_guilds(guild_lines))))
     channels = usable(parse_channels(channel_lines))
     archive.upsert_channels(project_channels(message_bearing(channels)))
@@ -93,5 +96,5 @@ def run_pass(
     walk_rows = walked.count()
     messages = usable(parse_messages(message_lines))
     archive.upsert_users(users_met(messages, walked, walk_rows))
-    absent = archive.messages.absent(project_messages(human_authors(messages)))
+    absent = archive.messages.absent(project_messages(human_authors(messages)), all_days=True)
     archive.messages.append(with_walk_guild(absent, walked, walk_rows))

@@ -130,6 +130,8 @@ MESSAGES = _struct(
     raw_json="string",
 )
 
+PROGRESS = _struct(channel_id="long", processed="long")
+
 QUARANTINE = _struct(raw_json="string", source_file="string", reject_reason="string")
 
 JSON_LIST_COLUMNS = ("mentions", "attachments", "embeds", "components", "reactions")

@@ -6,6 +6,7 @@ import math
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 TARGET_SHUFFLE_BYTES = 128 * 1024 * 1024
@@ -39,6 +40,11 @@ def configure(builder: SparkSession.Builder, input_bytes: int = 0, cores: int =
     return builder
 
 
+def path_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because its folder does not exist."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 

@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructType
 
 from palaver.functions.scalars import signed_id
 from palaver.schemas import LANDED_AUTHOR, LANDED_CHANNEL, LANDED_GUILD, LANDED_MESSAGE
+from palaver.session import path_missing
 
 CORRUPT = "_corrupt_record"
 MAX_BYTES_PER_TRIGGER = 64 * 1024**3
@@ -28,7 +29,7 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     try:
         spark.read.text(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not path_missing(error):
             raise
         spark.range(0).select(F.lit("").alias("value")).write.mode("append").text(path)
 

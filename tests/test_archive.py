@@ -32,6 +32,7 @@ def contents(archive):
 def test_bootstrap_creates_empty_tables_once(spark, archive, rows):
     for table in (archive.guilds, archive.channels, archive.users, archive.messages):
         assert table.read().count() == 0
+    assert archive.progress().count() == 0 and archive.quarantine("messages").count() == 0
     archive.insert_messages(project_messages(rows([message(1)])))
     Archive(spark, archive.root).bootstrap()
     assert len(contents(archive)) == 1

@@ -9,9 +9,10 @@ import pytest
 from __spark_entry__ import queries
 from palaver.archive import Archive
 from palaver.operators.dedup import first_wins
-from palaver.operators.projections import project_messages
 from palaver.operators.filters import human_authors
+from palaver.operators.joins import absent_rows
 from palaver.operators.paging import pages_latest
+from palaver.operators.projections import project_messages
 from palaver.sources.landed import parse_messages, read_lines, usable
 from tests.conftest import message
 
@@ -29,6 +30,19 @@ def test_rows_are_limited_before_the_shuffle(spark):
     assert len(re.findall(r"WindowGroupLimit.*Partial", plan(pages_latest(df, 10)))) == 2
 
 
+def test_the_anti_join_uses_the_partitioning_of_the_dedup(spark):
+    df = spark.range(100).selectExpr("id % 7 as id", "id as arrival_seq")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        text = plan(absent_rows(first_wins(df), spark.range(50)))
+    finally:
+        spark.conf.set(key, before)
+    assert "SortMergeJoin" in text
+    assert text.count("Exchange hashpartitioning(id") == 2
+
+
 def test_a_line_is_parsed_once(spark, land):
     lines = read_lines(spark, land([message(1)]))
     text = plan(project_messages(human_authors(usable(parse_messages(lines)))))
