@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructType
 
-from palaver.functions.scalars import created_at_ms, created_date
+from palaver.functions.scalars import created_date
 from palaver.operators import access, bounds, paging
 from palaver.operators.dedup import last_wins
 from palaver.operators.joins import MAX_BROADCAST_ROWS
@@ -33,9 +33,14 @@ def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0).select(*columns)
 
 
-def _log_generation(spark: SparkSession, path: str, generation: int) -> None:
-    row = spark.range(1).select(F.lit(generation).cast("long").alias("generation"))
-    row.coalesce(1).write.mode("append").json(path)
+def _read_if_there(spark: SparkSession, path: str, source: str, schema: StructType) -> DataFrame:
+    """Rows below ``path``; none where the folder does not exist yet."""
+    try:
+        return spark.read.format(source).schema(schema).load(path)
+    except AnalysisException as error:
+        if path_missing(error):
+            return _no_rows(spark, schema)
+        raise
 
 
 class KeyedTable:
@@ -52,10 +57,12 @@ class KeyedTable:
         self.schema = schema
 
     def create(self) -> None:
-        self._start(0, _no_rows(self.spark, self.schema))
+        """Start an empty table where there is none."""
+        if self.generation() is None:
+            self._start(0, _no_rows(self.spark, self.schema))
 
-    def generation(self) -> int:
-        log = self.spark.read.schema(GENERATION).json(f"{self.path}/generations")
+    def generation(self) -> int | None:
+        log = _read_if_there(self.spark, f"{self.path}/generations", "json", GENERATION)
         return log.agg(F.max("generation")).first()[0]
 
     def read(self) -> DataFrame:
@@ -78,7 +85,8 @@ class KeyedTable:
         snapshot.write.mode("overwrite").parquet(f"{self.path}/snapshots/generation={generation}")
         no_changes = _no_rows(self.spark, self.schema)
         no_changes.write.mode("overwrite").parquet(f"{self.path}/changes/generation={generation}")
-        _log_generation(self.spark, f"{self.path}/generations", generation)
+        log = self.spark.range(1).select(F.lit(generation).cast("long").alias("generation"))
+        log.coalesce(1).write.mode("append").json(f"{self.path}/generations")
 
     def _snapshot(self, generation: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(
@@ -104,6 +112,7 @@ class MessageTable:
         self.layout = StructType([*MESSAGES.fields]).add("created_date", DateType())
 
     def create(self) -> None:
+        """Adds no rows; makes the folder of the table."""
         self._write(_no_rows(self.spark, MESSAGES))
 
     def read(self) -> DataFrame:
@@ -178,30 +187,10 @@ class Archive:
 
     def bootstrap(self) -> Archive:
         """Create what is absent; existing tables stay as they are."""
-        if not self._exists():
-            for table in (self.guilds, self.channels, self.users, self.messages):
-                table.create()
-            _log_generation(self.spark, f"{self.root}/created", 0)
+        for table in (self.guilds, self.channels, self.users, self.messages):
+            table.create()
         return self
 
-    def _exists(self) -> bool:
-        try:
-            return not self.spark.read.schema(GENERATION).json(f"{self.root}/created").isEmpty()
-        except AnalysisException as error:
-            if path_missing(error):
-                return False
-            raise
-
-    def _batches(self, folder: str, fields: StructType) -> DataFrame:
-        """Rows written per batch; none before the first batch."""
-        schema = StructType([*fields]).add("batch_id", "long")
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
-        except AnalysisException as error:
-            if path_missing(error):
-                return _no_rows(self.spark, schema)
-            raise
-
     def checkpoint(self, feed: str) -> str:
         return f"{self.root}/checkpoints/{feed}"
 
@@ -214,7 +203,7 @@ class Archive:
 
     def progress(self) -> DataFrame:
         """Messages processed per batch and channel; ``processed`` counts known ones again."""
-        return self._batches("progress", PROGRESS)
+        return _read_if_there(self.spark, f"{self.root}/progress", "parquet", PROGRESS)
 
     def write_progress(self, batch_id: int, processed: DataFrame) -> None:
         """A replayed batch replaces its own counts."""
@@ -223,12 +212,13 @@ class Archive:
 
     def quarantine(self, feed: str) -> DataFrame:
         """Rejected lines of a feed with the reason."""
-        return self._batches(f"quarantine/{feed}", QUARANTINE)
+        path = f"{self.root}/quarantine/{feed}"
+        return _read_if_there(self.spark, path, "parquet", QUARANTINE)
 
     def write_quarantine(self, feed: str, batch_id: int, rows: DataFrame) -> None:
         """A replayed batch replaces its own lines."""
         target = f"{self.root}/quarantine/{feed}/batch_id={batch_id}"
-        rows.select(*QUARANTINE.fieldNames()).write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").parquet(target)
 
     def insert_messages(self, batch: DataFrame, batch_rows: int | None = None) -> None:
         """Store what is absent; ``batch_rows`` is the size of the batch where it was counted."""

@@ -130,8 +130,11 @@ MESSAGES = _struct(
     raw_json="string",
 )
 
-PROGRESS = _struct(channel_id="long", processed="long")
+# Written per micro-batch.
+PROGRESS = _struct(channel_id="long", processed="long", batch_id="long")
 
-QUARANTINE = _struct(raw_json="string", source_file="string", reject_reason="string")
+QUARANTINE = _struct(
+    raw_json="string", source_file="string", reject_reason="string", batch_id="long"
+)
 
 JSON_LIST_COLUMNS = ("mentions", "attachments", "embeds", "components", "reactions")

@@ -70,6 +70,16 @@ def test_channel_filters_reach_the_scan(spark, tmp_path, landed):
     assert "ReadSchema: struct<id:bigint,channel_id:bigint>" in text
 
 
+def test_pages_read_whole_rows_of_their_days_only(spark, tmp_path, landed):
+    archive = Archive(spark, str(tmp_path / "tables")).bootstrap()
+    rows = [message(n * DAY) for n in range(6)]
+    archive.insert_messages(project_messages(usable(parse_messages(landed(rows)))))
+    text = plan(archive.page_latest(10, 2))
+    assert "dynamicpruning" in text
+    # The keys come from a scan of two columns.
+    assert "ReadSchema: struct<id:bigint,channel_id:bigint>" in text
+
+
 @pytest.mark.parametrize("name", [n for n in queries() if not any(s in n for s in STREAMED)])
 def test_no_cross_joins_and_no_python(spark, name):
     text = plan(queries()[name](spark, "/root/testdata/sf0.001"))

@@ -2,7 +2,8 @@
 
 ``{EVENTS}``, ``{CONVERSATIONS}``, ``{MS}`` and ``{ISO}`` are the only parts that differ. The views
 hold the input of a query only; what a query computes is written twice, in ``queries`` with the
-library and in ``oracle`` in SQL.
+library and in ``oracle`` in SQL. Conditions such as ``% 6`` choose which records are redelivered,
+missing from the archive or damaged; every query runs over all rows of its inputs.
 """
 
 from __future__ import annotations
