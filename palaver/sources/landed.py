@@ -61,10 +61,12 @@ def parse_channels(lines: DataFrame) -> DataFrame:
 
 
 def parse_messages(lines: DataFrame) -> DataFrame:
-    """Author fields come out flat; the author's id is ``author_id``."""
+    """Author fields come out flat, the id as ``author_id`` and the author's own JSON as
+    ``author_json``, which is cut out of the line only where a plan uses it."""
     names = LANDED_AUTHOR.fieldNames()
     flat = [F.col(f"author.{n}").alias("author_id" if n == "id" else n) for n in names]
-    messages = _parse(lines, LANDED_MESSAGE).select("*", *flat).drop("author")
+    author_json = F.get_json_object("raw_json", "$.author").alias("author_json")
+    messages = _parse(lines, LANDED_MESSAGE).select("*", *flat, author_json).drop("author")
     return _with_reason(
         messages,
         required=("id", "channel_id", "author_id"),
