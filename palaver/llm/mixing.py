@@ -70,32 +70,32 @@ def exponent(sources: DataFrame, entropy: float, repeats: float) -> float:
 
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    entropy: float = 0.98, repeats: float = 2.0, budget: float = 1.0, block_docs: int = 1000, key: str = "mix",
+    entropy: float = 0.98, repeats: float = 2.0, budget: float = 1.0, block_docs: int = 1000, key: str = "mix", keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Rows of ``docs`` as often as the mixture takes them, with pass (0, 1, ...), slot (the place in the keyed order of the
-    pass, equal on ties) and n_tokens. ``budget`` is the tokens of the mixture as a multiple of those of the corpus."""
-    own = [c for c in docs.columns if c not in ("pass", "slot", "n_tokens")]
-    rows = docs.select(*own, token_count(F.col(text_col)).alias("n_tokens")).filter("n_tokens > 0")
-    name = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("-"))
-    sources = rows.groupBy(name.alias("_name")).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
+    pass, equal on ties) and n_tokens; of the columns of ``docs`` those in ``keep``, or all. ``budget`` is the tokens of the mixture as a multiple of those of the corpus."""
+    own = [c for c in docs.columns if c not in ("pass", "slot", "n_tokens") and (keep is None or c in keep)]
+    name = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("-")).alias("_name")
+    text_hash = F.xxhash64(F.lit(key), F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("_hash")
+    rows = written(docs.select(*own, token_count(F.col(text_col)).alias("n_tokens"), name, text_hash), "counted").filter("n_tokens > 0")
+    sources = rows.groupBy("_name").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     sources = written(sources, "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     if not total:
-        return rows.select("*", F.lit(0).cast("long").alias("pass"), F.lit(0).cast("long").alias("slot")).limit(0)
+        return rows.select(*own, "n_tokens", F.lit(0).cast("long").alias("pass"), F.lit(0).cast("long").alias("slot")).limit(0)
     sources = written(sources.withColumn("total", F.lit(total).cast("double")), "source-shares")
     a = exponent(sources, entropy, repeats)
     power = F.pow(F.col("tokens") / F.col("total"), F.lit(a))
     z = sources.agg(F.sum(power)).first()[0]
     plan = sources.select("_name", (power / F.lit(z) * F.lit(budget * total) / F.col("tokens")).alias("_rate"), F.ceil(F.col("docs") / block_docs).alias("_blocks"))
-    text_hash = F.xxhash64(F.lit(key), F.col(id_col).cast("string"), F.col(text_col).cast("string"))
-    dealt = rows.withColumns({"_name": name, "_hash": text_hash}).join(maybe_broadcast(plan), "_name")
+    dealt = rows.join(maybe_broadcast(plan), "_name")
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64(F.lit("block"), "_hash"), F.col("_blocks")))
     block = Window.partitionBy("_name", "_block")
     whole = F.floor("_rate").cast("long")
     dealt = dealt.withColumn("_last", F.xxhash64(whole, "_hash"))
-    before = F.coalesce(F.sum("n_tokens").over(block.orderBy("_last", id_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("n_tokens").over(block.orderBy("_last").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # The whole block, with the same order, so that one sort serves both.
-    everything = F.sum("n_tokens").over(block.orderBy("_last", id_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    everything = F.sum("n_tokens").over(block.orderBy("_last").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     dealt = dealt.withColumns({"_before": before, "_all": everything})
     fits = F.col("_before") + F.col("n_tokens") / 2 <= (F.col("_rate") - whole) * F.col("_all")
     times = whole + F.when(fits, 1).otherwise(0)

@@ -45,7 +45,8 @@ def _words(text: Column) -> Column:
 
 
 def _count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+    """How many characters of a class are in the text."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", ""))
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -63,17 +64,16 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = lambda x, i: F.coalesce(x["h"] == F.get("grams", i)["h"], F.lit(False))
     again = F.filter("grams", lambda x, i: same(x, i - 1) | same(x, i + 1))
     places = F.flatten(F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
-    space = F.length("whole") - F.length(F.translate("whole", SPACE, ""))
     return rows.select(
         "id", *(["carried"] if kept else []),
         F.size("ws").cast("long").alias("n_words"),
-        (F.length("whole") - space).cast("long").alias("word_chars"),
+        F.length(F.array_join("ws", "")).cast("long").alias("word_chars"),
         _count_of(F.col("whole"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.array_distinct(places)).cast("long").alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.length("whole") - F.length(F.regexp_replace("whole", r"\p{Lu}", ""))).cast("long").alias("n_capitals"),
-        _count_of(F.col("whole"), "!").cast("long").alias("n_shouts"),
+        _count_of(F.col("whole"), r"\p{Lu}").cast("long").alias("n_capitals"),
+        (F.length("whole") - F.length(F.replace(F.col("whole"), F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
     )
 
 
