@@ -24,7 +24,7 @@ from palaver.llm.text import Roller, normalised, word_table
 
 SAMPLE, GRADES, BITS = 20_000, 4, 20
 #: Least texts with a word and least z-score of its log-odds ratio for it to be a feature; weight decay; steps of the fit.
-LEAST_TEXTS, LEAST_Z, DECAY, STEPS = 4, 4.0, 1e-3, 400
+LEAST_TEXTS, LEAST_Z, DECAY, STEPS = 4, 4.0, 1e-5, 600
 TABLE = word_table(lambda b: 0x61 <= b <= 0x7A or b >= 0x80)
 
 
