@@ -12,8 +12,8 @@ entity of the corpus, are tried again with the next attempt, all but the smalles
 distinct. Everything is DataFrame expressions. Only rows with entities are joined with their surrogates.
 
 Defined cases: null text stays null, text without entities stays as it is, repeated rows and rows that share an id get the same
-surrogates; rows with a null id are treated like others. No rows give no rows. An entity that is left of too few forms (the attempts end
-after ``ATTEMPTS``) gets its digest appended. Other columns stay, unless they are named like the added one.
+surrogates; rows with a null id are treated like others. No rows give no rows. An entity that still meets others after ``ATTEMPTS``
+attempts (too few forms) gets its digest appended. Other columns stay, unless they are named like the added one.
 """
 
 from __future__ import annotations
@@ -212,7 +212,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     found = written(entities.select("value").distinct().select("value", kind_of(F.col("value")).alias("kind")), "entities")
     made = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
     table = written(made(found.withColumn("attempt", F.lit(0))), "surrogates")
-    for _ in range(ATTEMPTS):
+    while True:  # each round raises the attempt of some, and that ends in forms of their own
         least = table.groupBy("surrogate").agg(F.min("value").alias("first"), F.count("*").alias("n"))
         again = table.join(least.filter("n > 1"), "surrogate").filter("value != first").select("value")
         real = table.join(found.select(F.col("value").alias("surrogate")), "surrogate", "left_semi").select("value")
