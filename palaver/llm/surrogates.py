@@ -156,12 +156,13 @@ def _scrambled(value: Column, key: str, tag: Column) -> Column:
 
 
 def _email(value: Column, key: str, tag: Column) -> Column:
-    """The domain depends on the domain alone and ends in a reserved name."""
+    """The domain depends on the domain alone and ends in a reserved name; a further attempt shows in the local part."""
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     lower = F.lower(F.regexp_replace(domain, r"\.[^.]*$", ""))
     fresh = F.concat(_scrambled(lower, key, F.lit("domain")), F.lit(".example"))
     shown = F.when(domain == F.upper(domain), F.upper(fresh)).otherwise(fresh)
-    return F.concat(_scrambled(local, key, F.concat(tag, F.lit("@"), domain)), F.lit("@"), shown)
+    more = F.when(tag == "0", "").otherwise(tag)
+    return F.concat(_scrambled(local, key, F.concat(tag, F.lit("@"), domain)), more, F.lit("@"), shown)
 
 
 def _secret(value: Column, key: str, tag: Column) -> Column:
