@@ -22,7 +22,7 @@ from palaver.operators.merge import insert_first
 from palaver.operators.projections import MESSAGE_ORDER
 from palaver.schemas import CHANNELS, GUILDS, MESSAGES, PROGRESS, QUARANTINE, USERS
 from palaver.session import path_missing
-from palaver.sources.landed import MAX_BYTES_PER_TRIGGER, ensure_folder
+from palaver.sources.landed import ANY_AGE, MAX_BYTES_PER_TRIGGER, ensure_folder
 from palaver.streaming.live import FEEDS, start_feed
 
 GENERATION = StructType().add("generation", "long")
@@ -265,8 +265,8 @@ class ArchiveConfig:
 
     ``landing`` holds the folders ``guilds``, ``channels`` and ``messages`` with JSON lines.
     Changes of a keyed table are folded into its snapshot every ``compact_every`` batches. A file
-    is known by its path for ``max_file_age`` before the newest file; one landed with an older
-    modification time than that would be passed over, so the age is generous.
+    is taken whatever its modification time. A shorter ``max_file_age`` keeps the list of known
+    files short where files are known to land with their time, and passes over older ones.
     """
 
     landing: str
@@ -274,7 +274,7 @@ class ArchiveConfig:
     poll_interval_secs: int = 300
     max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER
     max_files_per_trigger: int | None = None
-    max_file_age: str = "365d"
+    max_file_age: str = ANY_AGE
     compact_every: int = 100
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -46,11 +45,16 @@ def path_missing(error: AnalysisException) -> bool:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh folder that every executor can reach.
 
-    Only where the session names none (tests on one machine) is a temporary folder made.
+    It lies below ``spark.checkpoint.dir`` or, where the session names none, below the warehouse. On a
+    cluster a warehouse on the driver's own disk is refused: each executor would write to its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local = warehouse.startswith(("file:", "/"))
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{warehouse.rstrip('/')}/_scratch"
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -34,12 +34,16 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
         spark.range(0).select(F.lit("").alias("value")).write.mode("append").text(path)
 
 
+#: No landed file is passed over for its modification time: restored backups and copies keep old ones.
+ANY_AGE = "365000d"
+
+
 def stream_lines(
     spark: SparkSession,
     path: str,
     max_bytes: int = MAX_BYTES_PER_TRIGGER,
     max_files: int | None = None,
-    max_file_age: str = "365d",
+    max_file_age: str = ANY_AGE,
 ) -> DataFrame:
     """The same as a stream of new files; a trigger takes a bounded amount of them."""
     reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFileAge", max_file_age)

@@ -92,3 +92,12 @@ def test_lookup_join_equals_the_plain_join(spark, how, measured):
     lookup = spark.createDataFrame([(1, "one"), (4, "four")], "k bigint, v string")
     plain = sorted(map(repr, facts.join(lookup, "k", how).collect()))
     assert sorted(map(repr, lookup_join(facts, lookup, "k", "id", how, measured).collect())) == plain
+
+
+def test_equal_arrivals_end_in_the_same_row(spark):
+    rows = [(1, "a", 5, "x"), (1, "b", 5, "y"), (1, "c", 4, "z")]
+    schema = "id bigint, name string, arrival_seq bigint, raw_json string"
+    for a, b in ((rows[:1], rows[1:]), (rows[1:], rows[:1])):
+        target, batch = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+        assert upsert_last(target, batch).select("name").first()[0] == "b"
+        assert first_wins(target.unionByName(batch)).select("name").first()[0] == "c"

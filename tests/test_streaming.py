@@ -123,9 +123,9 @@ def test_files_with_an_old_modification_time_are_taken(archiver, land, tmp_path)
     run = archiver()
     run.run_once()
     land([message(2)], "landing/messages/restored")
-    month_ago = time.time() - 30 * 24 * 3600
+    years_ago = time.time() - 3650 * 24 * 3600
     for path in (tmp_path / "landing/messages/restored").iterdir():
-        os.utime(path, (month_ago, month_ago))
+        os.utime(path, (years_ago, years_ago))
     run.run_once()
     assert set(state(run.archive)[0]) == {1, 2}
 

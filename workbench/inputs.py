@@ -13,7 +13,7 @@ from palaver.sources.landed import read_lines
 from palaver.streaming.live import start_feed
 from workbench.views import MESSAGE_COLUMNS, spark_views
 
-REDELIVERED_FROM = 10_000_000
+REDELIVERED_FROM = 1_000_000_000_000_000
 
 
 @lru_cache(maxsize=64)

@@ -17,7 +17,7 @@ VIEWS: dict[str, str] = {
 """,
     "one": """
   select
-    (ms - 1420070400000) * 4194304 + event_id as id,
+    (ms - 1420070400000) * 4194304 + event_id % 4194304 as id,
     1 + event_id % 12 % 3 as guild_id,
     100 + event_id % 12 as channel_id,
     user_id as author_id,
@@ -54,7 +54,7 @@ VIEWS: dict[str, str] = {
   union all
   select id, guild_id, channel_id, author_id, username || 'x', null, discriminator, avatar, bot,
     webhook_id, edited_raw_ms, 'redelivered ' || content, tts, not pinned, kind, flags, mentions,
-    attachments, embeds, components, reactions, message_reference, arrival_seq + 10000000, ms
+    attachments, embeds, components, reactions, message_reference, arrival_seq + 1000000000000000, ms
   from one where arrival_seq % 6 = 0
 """,
     "authored": """
@@ -163,13 +163,13 @@ VIEWS: dict[str, str] = {
     "users_target": """
   select distinct user_id as id, 'old' || cast(user_id as string) as username, 'old' as global_name,
     '1' as discriminator, 'old' as avatar, false as bot, '{}' as raw_json,
-    cast(case when user_id % 8 = 0 then 90000000 else -1 end as bigint) as arrival_seq
+    cast(case when user_id % 8 = 0 then 9000000000000000 else -1 end as bigint) as arrival_seq
   from base where user_id % 4 = 0
   union all
-  select 999999, 'gone', 'old', null, null, false, '{}', cast(-1 as bigint)
+  select -1, 'gone', 'old', null, null, false, '{}', cast(-1 as bigint)
 """,
     "spoken": """
-  select conv_id * 64 + turn as id, conv_id as channel_id, role <> 'user' as bot, text as content,
+  select conv_id * 1048576 + turn as id, conv_id as channel_id, role <> 'user' as bot, text as content,
     turn as arrival_seq
   from {CONVERSATIONS}
 """,
@@ -177,7 +177,7 @@ VIEWS: dict[str, str] = {
     # another content than the wire, so that a stored row that was replaced shows.
     "stored_pick": """
   select * from wire
-  where arrival_seq < 10000000 and not coalesce(bot, false) and webhook_id is null
+  where arrival_seq < 1000000000000000 and not coalesce(bot, false) and webhook_id is null
     and ms >= 1704672000000 and ms < 1705968000000 and arrival_seq % 11 <> 0 and channel_id <> 105
 """,
     "archive": """
