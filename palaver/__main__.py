@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,7 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of the archive, on shared storage")
     parser.add_argument("--poll-interval-secs", type=int, default=300)
     parser.add_argument("--once", action="store_true", help="stop after what has landed so far")
+    parser.add_argument("--polled-pass", type=int, metavar="ID", help="one full pass over the landed files")
     parser.add_argument("--input-bytes", type=int, default=0, help="bytes shuffled at once, for sizing")
     args = parser.parse_args()
 
@@ -26,9 +28,13 @@ def main() -> None:
     archiver = Archiver(spark, config)
     if args.once:
         archiver.run_once()
+    elif args.polled_pass is not None:
+        archiver.run_polled(args.polled_pass)
     else:
-        archiver.run_forever()
-        spark.streams.awaitAnyTermination()
+        running = archiver.run_forever()
+        while True:  # a feed that fails is started again, the others go on
+            time.sleep(args.poll_interval_secs)
+            running = archiver.restarted(running)
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ One writer per archive: Parquet has no unique key, so both feeds land in one pla
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -20,11 +21,14 @@ from palaver.operators.dedup import last_wins
 from palaver.operators.joins import MAX_BROADCAST_ROWS
 from palaver.operators.merge import insert_first
 from palaver.operators.projections import MESSAGE_ORDER
+from palaver.plans.sync import run_pass
 from palaver.schemas import CHANNELS, GUILDS, MESSAGES, PROGRESS, QUARANTINE, USERS
 from palaver.session import path_missing
-from palaver.sources.landed import ANY_AGE, MAX_BYTES_PER_TRIGGER, ensure_folder
+from palaver.sources.landed import ANY_AGE, MAX_BYTES_PER_TRIGGER, ensure_folder, read_lines
 from palaver.streaming.live import FEEDS, start_feed
 
+log = logging.getLogger(__name__)
+
 GENERATION = StructType().add("generation", "long")
 
 
@@ -293,6 +297,21 @@ class Archiver:
         for feed in FEEDS:
             start_feed(self.archive, self.config, feed, once=True).awaitTermination()
 
+    def run_polled(self, pass_id: int = 0) -> None:
+        """A full pass over the landed files: messages of the channels walked, with the guild of the walk."""
+        lines = [read_lines(self.spark, f"{self.config.landing.rstrip('/')}/{feed}") for feed in FEEDS]
+        run_pass(self.archive, *lines, pass_id=pass_id)
+
     def run_forever(self) -> list[StreamingQuery]:
         """Start one query per feed that looks for new files at the poll interval."""
         return [start_feed(self.archive, self.config, feed, once=False) for feed in FEEDS]
+
+    def restarted(self, running: list[StreamingQuery]) -> list[StreamingQuery]:
+        """The queries of ``run_forever``, those that have ended started again; the others go on."""
+        queries = []
+        for feed, query in zip(FEEDS, running, strict=True):
+            if not query.isActive:
+                log.error("feed %s ended and starts again: %s", feed, query.exception())
+                query = start_feed(self.archive, self.config, feed, once=False)
+            queries.append(query)
+        return queries

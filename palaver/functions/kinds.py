@@ -74,8 +74,8 @@ def kind_name(kind: Column, names: Mapping[int, str]) -> Column:
     The table is a few dozen fixed entries, so it travels as a literal inside the expression and
     needs no join.
     """
-    code = kind.try_cast("int")
-    entries = ", ".join(f"{number}, '{name}'" for number, name in names.items())
+    code = kind.try_cast("bigint")
+    entries = ", ".join(f"{number}L, '{name}'" for number, name in names.items())
     table = F.expr(f"map({entries})")
     unknown = F.concat(F.lit("Unknown("), code.cast("string"), F.lit(")"))
     return F.when(code.isNull(), kind).otherwise(F.coalesce(F.try_element_at(table, code), unknown))

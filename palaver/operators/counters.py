@@ -37,8 +37,14 @@ def processed_counts(source: DataFrame, archive: DataFrame) -> DataFrame:
 
 
 def page_counts(source: DataFrame, archive: DataFrame, page: int = MESSAGE_PAGE) -> DataFrame:
-    """Per channel: non-empty pages each phase reads. Pages hold bot rows too."""
-    rows = lookup_join(source, channel_bounds(archive), "channel_id", "id")
+    """Per channel: non-empty pages each phase reads. Pages hold bot rows too.
+
+    Backfill fills an empty channel first, so its catch-up starts at the newest human row of the source.
+    """
+    newest = source.where("is_human").groupBy("channel_id").agg(F.max("id").alias("newest"))
+    stored = channel_bounds(archive)
+    bounds = stored.join(newest, "channel_id", "full").select("channel_id", "lo", F.coalesce("hi", "newest").alias("hi"))
+    rows = lookup_join(source, bounds, "channel_id", "id")
     counts = rows.groupBy("channel_id").agg(
         F.count(F.lit(1)).alias("source_rows"),
         F.count_if(F.expr(BELOW)).alias("backfill_rows"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from palaver.operators.projections import (
     project_messages,
     project_users,
 )
-from palaver.sources.landed import parse_channels, parse_guilds, parse_messages, usable
+from palaver.sources.landed import parse_channels, parse_guilds, parse_messages, rejected, usable
 
 if TYPE_CHECKING:
     from palaver.archive import Archive
@@ -83,18 +84,32 @@ def messages_after(archive: DataFrame, landed_messages: DataFrame, walk: DataFra
 
 
 def run_pass(
-    archive: Archive, guild_lines: DataFrame, channel_lines: DataFrame, message_lines: DataFrame
+    archive: Archive,
+    guild_lines: DataFrame,
+    channel_lines: DataFrame,
+    message_lines: DataFrame,
+    pass_id: int = 0,
 ) -> None:
     """Write a polled pass: guilds, channels, then the authors and messages of the walk.
 
-    A pass reads channels from end to end, so its messages are compared with all days.
+    A pass reads channels from end to end, so its messages are compared with all days. Lines that can't be
+    used are quarantined as those of ``polled_<feed>``; the same ``pass_id`` replaces them.
     """
-    archive.upsert_guilds(project_guilds(usable(parse_guilds(guild_lines))))
-    channels = usable(parse_channels(channel_lines))
+    guilds = parse_guilds(guild_lines)
+    archive.write_quarantine("polled_guilds", pass_id, rejected(guilds))
+    archive.upsert_guilds(project_guilds(usable(guilds)))
+    parsed = parse_channels(channel_lines)
+    archive.write_quarantine("polled_channels", pass_id, rejected(parsed))
+    channels = usable(parsed)
     archive.upsert_channels(project_channels(message_bearing(channels)))
     walked = walk(channels)
     walk_rows = walked.count()
-    messages = usable(parse_messages(message_lines))
-    archive.upsert_users(users_met(messages, walked, walk_rows))
-    absent = archive.messages.absent(project_messages(human_authors(messages)), all_days=True)
-    archive.messages.append(with_walk_guild(absent, walked, walk_rows))
+    parsed = parse_messages(message_lines).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        archive.write_quarantine("polled_messages", pass_id, rejected(parsed))
+        messages = usable(parsed)
+        archive.upsert_users(users_met(messages, walked, walk_rows))
+        absent = archive.messages.absent(project_messages(human_authors(messages)), all_days=True)
+        archive.messages.append(with_walk_guild(absent, walked, walk_rows))
+    finally:
+        parsed.unpersist()

@@ -75,3 +75,10 @@ def test_json_elements_keep_their_text(spark):
     )
     got = sorted((r.message_id, r.position, r.element) for r in json_elements(rows, "embeds").collect())
     assert got == [(1, 0, '{"a":[1,2]}'), (1, 1, "x"), (1, 2, None)]
+
+
+def test_catch_up_of_an_empty_channel_starts_at_its_newest_human_row(spark):
+    source = spark.createDataFrame([(1, 5, True), (2, 5, False), (3, 5, False), (1, 6, False)], "id bigint, channel_id bigint, is_human boolean")
+    archive = spark.createDataFrame([], "id bigint, channel_id bigint")
+    pages = {r.channel_id: (r.backfill_pages, r.catch_up_pages, r.sweep_pages) for r in counters.page_counts(source, archive, page=2).collect()}
+    assert pages == {5: (2, 1, 2), 6: (1, 0, 1)}

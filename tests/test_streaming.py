@@ -141,3 +141,17 @@ def test_polling_picks_up_new_files(archiver, land):
     finally:
         for query in queries:
             query.stop()
+
+
+def test_a_feed_that_ended_starts_again_while_the_others_go_on(archiver):
+    run = archiver(poll_interval_secs=3600)
+    running = run.run_forever()
+    try:
+        running[2].stop()
+        again = run.restarted(running)
+        assert again[:2] == running[:2] and again[2] is not running[2]
+        assert all(q.isActive for q in again)
+        running = again
+    finally:
+        for query in running:
+            query.stop()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from palaver.archive import Archive
+from palaver.archive import Archive, ArchiveConfig, Archiver
 from palaver.plans.sync import run_pass
 from tests.conftest import ID_STEP, message
 
@@ -33,3 +33,15 @@ def test_a_pass_takes_the_walk_only_and_repeats_harmlessly(spark, tmp_path, land
     assert {r.id: r.username for r in archive.users.read().collect()} == {6: None, 7: "b"}
     assert [r.id for r in archive.channels.read().collect()] == [10]
     assert archive.guilds.read().count() == 1
+
+
+def test_a_polled_pass_of_the_archiver_sets_broken_lines_of_each_feed_aside(spark, tmp_path, land):
+    land([{"id": "1", "name": "g", "arrival_seq": 1}, "no guild"], "landing/guilds")
+    land([{"id": "10", "guild_id": "1", "kind": 0, "arrival_seq": 1}, "no channel"], "landing/channels")
+    land([message(1), message(2, channel_id="12"), "no message"], "landing/messages")
+    archiver = Archiver(spark, ArchiveConfig(landing=str(tmp_path / "landing"), root=str(tmp_path / "tables")))
+    for _ in range(2):
+        archiver.run_polled()
+    assert [r.id // ID_STEP for r in archiver.archive.messages.read().collect()] == [1]
+    for feed in ("guild", "channel", "message"):
+        assert [r.raw_json for r in archiver.archive.quarantine(f"polled_{feed}s").collect()] == [f"no {feed}"]

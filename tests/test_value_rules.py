@@ -73,9 +73,9 @@ def test_discriminators(spark):
 
 
 def test_kind_names(spark):
-    codes = ["0", "19", "9999", "Regular", None, "Unknown(3)"]
+    codes = ["0", "19", "9999", "Regular", None, "Unknown(3)", "99999999999"]
     got = values(spark, lambda x: kind_name(x, MESSAGE_KINDS), codes, "string")
-    assert got == ["Regular", "InlineReply", "Unknown(9999)", "Regular", None, "Unknown(3)"]
+    assert got == ["Regular", "InlineReply", "Unknown(9999)", "Regular", None, "Unknown(3)", "Unknown(99999999999)"]
     codes = ["0", "5", "10", "11", "12", "15"]
     got = values(spark, lambda x: kind_name(x, CHANNEL_KINDS), codes, "string")
     assert got == ["Text", "News", "NewsThread", "PublicThread", "PrivateThread", "Forum"]

@@ -65,8 +65,12 @@ class Inputs:
         )
 
     def archive(self) -> DataFrame:
+        """The messages that a pass finds stored."""
         return self.view("archive", MESSAGE_COLUMNS)
 
+    def all_messages(self) -> DataFrame:
+        return self.view("all_messages", MESSAGE_COLUMNS)
+
     def spoken(self) -> DataFrame:
         """Landed messages from real prose."""
         return self.view("spoken").withColumn("webhook_id", F.lit(None).cast("string"))

@@ -175,8 +175,8 @@ QUERIES: dict[str, str] = {
         "asc",
     ),
     "conversation_page_latest_all": _pages("select * from spoken", "id, channel_id, content", "desc", 3),
-    "channel_max_id": "select channel_id, max(id) as max_id from archive group by channel_id",
-    "channel_min_id": "select channel_id, min(id) as min_id from archive group by channel_id",
+    "channel_max_id": "select channel_id, max(id) as max_id from all_messages group by channel_id",
+    "channel_min_id": "select channel_id, min(id) as min_id from all_messages group by channel_id",
     "processed_counts": f"""select channel_id, backfill_processed, catch_up_processed, sweep_processed,
         backfill_processed + catch_up_processed + sweep_processed as processed, inserted
       from (
@@ -189,8 +189,10 @@ QUERIES: dict[str, str] = {
         cast(ceil(above / 100.0) as bigint) as catch_up_pages, cast(ceil(n / 100.0) as bigint) as sweep_pages
       from (
         select s.channel_id, count(*) as n, count(*) filter (where lo is null or s.id < lo) as below,
-          count(*) filter (where s.id > hi) as above
-        from source s left join bounds b using (channel_id) group by s.channel_id) x""",
+          count(*) filter (where s.id > coalesce(hi, newest)) as above
+        from source s left join bounds b using (channel_id)
+        left join (select channel_id, max(id) as newest from human_source group by channel_id) h using (channel_id)
+        group by s.channel_id) x""",
     "channel_counts": f"""select guild_id, count(*) as channels,
         count(*) filter (where kind in {BEARING}) as message_bearing
       from (select * from channel_rows {LAST}) x group by guild_id""",
@@ -218,20 +220,20 @@ QUERIES: dict[str, str] = {
       union all select {MESSAGE_COLUMNS} from (
         select * replace (walk_guild_id as guild_id) from human_rows join walk using (channel_id)
         where id not in (select id from archive) {FIRST}) fresh""",
-    "channel_timeline": """select channel_id, created_at_ms, id, author_id, content from archive
+    "channel_timeline": """select channel_id, created_at_ms, id, author_id, content from all_messages
       order by channel_id, created_at_ms, id""",
-    "author_history": """select author_id, created_at_ms, id, channel_id, content from archive
+    "author_history": """select author_id, created_at_ms, id, channel_id, content from all_messages
       order by author_id, created_at_ms, id""",
     **{
         f"message_{column}": f"""select message_id, channel_id,
             cast(position as int) - 1 as position, cast(element as varchar) as element from (
           select id as message_id, channel_id, unnest(cast({column} as json[])) as element,
-            unnest(range(1, len(cast({column} as json[])) + 1)) as position from archive) x"""
+            unnest(range(1, len(cast({column} as json[])) + 1)) as position from all_messages) x"""
         for column in LISTS
     },
-    "message_replies": """select id, channel_id, message_reference from archive
+    "message_replies": """select id, channel_id, message_reference from all_messages
       where message_reference is not null""",
-    "content_search": f"""select id, channel_id, author_id, content from archive
+    "content_search": f"""select id, channel_id, author_id, content from all_messages
       where contains(content, '{SEARCH_TEXT}') and regexp_matches(content, '{SEARCH_PATTERN}')""",
     "conversation_content_search": f"""select id, channel_id, content from spoken
       where contains(content, '{SPOKEN_TEXT}')""",

@@ -337,12 +337,12 @@ def conversation_page_latest_all(given: Inputs) -> DataFrame:
 
 @query("channel_max_id")
 def channel_max_id(given: Inputs) -> DataFrame:
-    return channel_bounds(given.archive()).select("channel_id", F.col("hi").alias("max_id"))
+    return channel_bounds(given.all_messages()).select("channel_id", F.col("hi").alias("max_id"))
 
 
 @query("channel_min_id")
 def channel_min_id(given: Inputs) -> DataFrame:
-    return channel_bounds(given.archive()).select("channel_id", F.col("lo").alias("min_id"))
+    return channel_bounds(given.all_messages()).select("channel_id", F.col("lo").alias("min_id"))
 
 
 # Counters
@@ -455,18 +455,18 @@ def live_users(given: Inputs) -> DataFrame:
 
 @query("channel_timeline")
 def channel_timeline(given: Inputs) -> DataFrame:
-    rows = given.archive().select("channel_id", "created_at_ms", "id", "author_id", "content")
+    rows = given.all_messages().select("channel_id", "created_at_ms", "id", "author_id", "content")
     return access.channel_timeline(rows)
 
 
 @query("author_history")
 def author_history(given: Inputs) -> DataFrame:
-    rows = given.archive().select("author_id", "created_at_ms", "id", "channel_id", "content")
+    rows = given.all_messages().select("author_id", "created_at_ms", "id", "channel_id", "content")
     return access.author_history(rows)
 
 
 def _elements(column: str) -> Callable[[Inputs], DataFrame]:
-    return lambda given: access.json_elements(given.archive(), column)
+    return lambda given: access.json_elements(given.all_messages(), column)
 
 
 for _column in ("mentions", "attachments", "embeds", "components", "reactions"):
@@ -475,12 +475,12 @@ for _column in ("mentions", "attachments", "embeds", "components", "reactions"):
 
 @query("message_replies")
 def message_replies(given: Inputs) -> DataFrame:
-    return access.replies(given.archive()).select("id", "channel_id", "message_reference")
+    return access.replies(given.all_messages()).select("id", "channel_id", "message_reference")
 
 
 @query("content_search")
 def content_search(given: Inputs) -> DataFrame:
-    found = access.content_search(given.archive(), text=SEARCH_TEXT, pattern=SEARCH_PATTERN)
+    found = access.content_search(given.all_messages(), text=SEARCH_TEXT, pattern=SEARCH_PATTERN)
     return found.select("id", "channel_id", "author_id", "content")
 
 

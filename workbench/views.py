@@ -3,7 +3,7 @@
 ``{EVENTS}``, ``{CONVERSATIONS}``, ``{MS}`` and ``{ISO}`` are the only parts that differ. The views
 hold the input of a query only; what a query computes is written twice, in ``queries`` with the
 library and in ``oracle`` in SQL. Conditions such as ``% 6`` choose which records are redelivered,
-missing from the archive or damaged; every query runs over all rows of its inputs.
+damaged, or missing from the archive that a pass finds; reads go over all messages.
 """
 
 from __future__ import annotations
@@ -11,6 +11,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+# A message of the wire as a row of the archive.
+_STORED = """id, guild_id, channel_id, author_id, ms as created_at_ms,
+    edited_raw_ms - edited_raw_ms % 1000 as edited_at_ms,
+    case when content = '' then null else 'stored ' || content end as content, tts, pinned, kind,
+    cast(flags as bigint) as flags, coalesce(mentions, '[]') as mentions, attachments, embeds,
+    components, reactions, message_reference, raw_json"""
+
 VIEWS: dict[str, str] = {
     "base": """
   select event_id, user_id, event_type, props, {MS} as ms from {EVENTS}
@@ -173,20 +180,22 @@ VIEWS: dict[str, str] = {
     turn as arrival_seq
   from {CONVERSATIONS}
 """,
-    # Stored messages: the middle of the time range without each 11th and without one channel, with
-    # another content than the wire, so that a stored row that was replaced shows.
-    "stored_pick": """
+    "all_pick": """
   select * from wire
   where arrival_seq < 1000000000000000 and not coalesce(bot, false) and webhook_id is null
-    and ms >= 1704672000000 and ms < 1705968000000 and arrival_seq % 11 <> 0 and channel_id <> 105
 """,
-    "archive": """
-  select id, guild_id, channel_id, author_id, ms as created_at_ms,
-    edited_raw_ms - edited_raw_ms % 1000 as edited_at_ms,
-    case when content = '' then null else 'stored ' || content end as content, tts, pinned, kind,
-    cast(flags as bigint) as flags, coalesce(mentions, '[]') as mentions, attachments, embeds,
-    components, reactions, message_reference, raw_json
-  from stored_pick
+    # The archive a pass starts from: the middle of the time range without each 11th and without one
+    # channel, with another content than the wire, so that a stored row that was replaced shows.
+    "stored_pick": """
+  select * from all_pick
+  where ms >= 1704672000000 and ms < 1705968000000 and arrival_seq % 11 <> 0 and channel_id <> 105
+""",
+    "archive": f"""
+  select {_STORED} from stored_pick
+""",
+    # An archive that holds every message.
+    "all_messages": f"""
+  select {_STORED} from all_pick
 """,
 }
 
