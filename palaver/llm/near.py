@@ -9,8 +9,8 @@ probability below 3e-7.
 
 Documents with equal sets form a class, represented by its smallest id; only representatives are compared.
 Candidates are compared in two passes, so that a family of many near copies does not give all its pairs:
-first each member of a bucket with the smallest one; then, only in buckets whose members are still in different
-components, the other pairs across components, unless their sizes or their distances from the smallest member rule it out (Jaccard
+first each member of a bucket with the smallest one; then, only in buckets whose members those links have not yet brought
+together, the other pairs that are still apart, unless their sizes or their distances from the smallest member rule it out (Jaccard
 distance is a metric), or their sketches agree in fewer coordinates than five standard deviations below the threshold. Large buckets are compared in blocks. Every candidate is confirmed on full sets.
 
 Defined cases: null or empty text has an empty set, which is linked with nothing; fewer words than a
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm.components import components
+from palaver.llm.components import components, contracted, linked, nearest
 from palaver.llm.tables import maybe_broadcast, written
 from palaver.llm.text import Roller, mix, normalised
 
@@ -103,7 +103,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _links(compared: DataFrame, percent: int) -> DataFrame:
-    return compared.filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b").distinct()
+    return compared.filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
 def _fine(words: int):
@@ -205,11 +205,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     first = written(crowded.filter("id > first_id").select(F.col("first_id").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs")
     stars = written(_compared(first, texts, words), "star-sizes")
-    links = written(_links(stars, percent), "star-links")
-    rest = _unsettled(crowded, components(links), stars, reps, texts, words, percent)
+    joined = contracted(linked(_links(stars, percent)))
+    rest = _unsettled(crowded, nearest(joined), stars, reps, texts, words, percent)
     rest = written(rest.join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    links = links.unionByName(_links(_compared(rest, texts, words), percent))
-    found = components(links)
+    across = _links(_compared(rest, texts, words), percent)
+    found = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(across))
 
     labelled = members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))

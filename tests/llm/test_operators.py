@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palaver.llm import language, quality_model, rules, toxicity
+from palaver.llm.components import components
 from palaver.llm.decontaminate import contamination
 from palaver.llm.mixing import mix_sources
 from palaver.llm.near import near_duplicates, sketch
@@ -360,3 +361,21 @@ def test_ordinal_fit_recovers_order():
     z = x @ np.array([2.0, -1.0, 0.0]) + r.logistic(size=3000)
     weights, cuts = toxicity.fit(x, np.digitize(z, [0.0, 1.5, 3.0]), 4)
     assert np.allclose(weights, [2.0, -1.0, 0.0], atol=0.3) and np.allclose(cuts, [0.0, 1.5, 3.0], atol=0.3)
+
+
+@pytest.mark.parametrize("kind", ["none", "chain", "random", "loops"])
+def test_components_are_those_of_the_graph(spark, kind):
+    r = random.Random(kind)
+    links = {
+        "none": [],
+        "chain": [(i, i + 1) for i in range(60)],
+        "random": [(r.randrange(150), r.randrange(150)) for _ in range(110)],
+        "loops": [(5, 5), (7, 2), (2, 7), (2, 7), (9, 7)],
+    }[kind]
+    least = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+    for _ in least:
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(got) == len(least) and {x["id"]: x["component"] for x in got} == least
