@@ -31,6 +31,14 @@ log = logging.getLogger(__name__)
 
 GENERATION = StructType().add("generation", "long")
 
+#: Messages are sorted by channel; these let a read of one author or one id pass over row groups. Their size follows the values;
+#: a column whose values repeat enough has a dictionary instead, which serves as well.
+BLOOM_FILTERS = {
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.enabled#author_id": "true",
+    "parquet.bloom.filter.enabled#id": "true",
+}
+
 
 def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
@@ -173,6 +181,7 @@ class MessageTable:
             .hint("rebalance", "created_date")
             .sortWithinPartitions("created_date", "channel_id", "id")
             .write.mode("append")
+            .options(**BLOOM_FILTERS)
             .partitionBy("created_date")
             .parquet(self.path)
         )
@@ -262,6 +271,19 @@ class Archive:
     def timeline(self, channel_id: int) -> DataFrame:
         return access.channel_timeline(self.messages.channel(channel_id), channel_id)
 
+    def author_history(self, author_id: int) -> DataFrame:
+        """Row groups without the author are passed over by their Bloom filters or dictionaries."""
+        return access.author_history(self.messages.read(), author_id)
+
+    def search(self, text: str | None = None, pattern: str | None = None) -> DataFrame:
+        return access.content_search(self.messages.read(), text, pattern)
+
+    def elements(self, column: str) -> DataFrame:
+        return access.json_elements(self.messages.read(), column)
+
+    def replies(self) -> DataFrame:
+        return access.replies(self.messages.read())
+
 
 @dataclass(frozen=True)
 class ArchiveConfig:

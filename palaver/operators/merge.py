@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from palaver.operators.dedup import first_wins, last_wins
-from palaver.operators.joins import absent_rows
+from palaver.operators.joins import MAX_BROADCAST_ROWS, absent_rows
 
 
 def upsert_last(
@@ -31,6 +31,9 @@ def insert_first(
     """Rows to append to ``target``: the first of each key in ``batch`` that is not stored yet.
 
     ``batch_rows``, where the caller has counted the batch, allows the plan without a shuffle of
-    the stored keys.
+    the stored keys; stored rows then fall away before the rest is sorted and moved. A larger batch
+    is de-duplicated first, so that many rows of one key never meet in a task.
     """
-    return absent_rows(first_wins(batch, key, order), target, key, batch, batch_rows)
+    if batch_rows is not None and batch_rows <= MAX_BROADCAST_ROWS:
+        return first_wins(absent_rows(batch, target, key, batch, batch_rows), key, order)
+    return absent_rows(first_wins(batch, key, order), target, key)

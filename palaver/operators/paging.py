@@ -65,11 +65,12 @@ def _channel(messages: DataFrame, channel_id: int) -> DataFrame:
 def _top_per_channel(messages: DataFrame, order: Column, limit: int) -> DataFrame:
     """First ``limit`` rows of each channel.
 
-    Ranked within salted shares of a channel first: with many tasks even ``limit`` rows of a hot
-    channel from each of them are too much for one. The second ranking sees ``limit`` rows per
-    share. Both limits are also applied before their shuffle (WindowGroupLimit).
+    Ranked within shares of a channel first: with many tasks even ``limit`` rows of a hot channel
+    from each of them are too much for one. The second ranking sees ``limit`` rows per share. Both
+    limits are also applied before their shuffle (WindowGroupLimit). A share is that of whole input
+    partitions, so a task passes on ``limit`` rows of a channel, and the page is the same for any split.
     """
-    share = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    share = F.pmod(F.spark_partition_id(), F.lit(SALTS))
     in_share = Window.partitionBy("channel_id", "_share").orderBy(order)
     in_channel = Window.partitionBy("channel_id").orderBy(order)
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
+import duckdb
 import pytest
 
 from palaver.archive import Archive
@@ -110,3 +111,23 @@ def test_bounds_and_pages_on_the_table(archive, rows):
     page = archive.page_after(10, 4 * DAY * ID_STEP, limit=2).collect()
     assert [r.id // ID_STEP // DAY for r in page] == [5, 6]
     assert [r.id // ID_STEP // DAY for r in archive.timeline(10).collect()] == list(range(1, 8))
+
+
+def test_reads_of_the_archive(archive, rows):
+    records = [message(n, content=f"text {n}") for n in range(4)]
+    archive.insert_messages(project_messages(rows(records)))
+    author = archive.messages.read().first().author_id
+    assert [r.id for r in archive.author_history(author).collect()] == sorted(contents(archive))
+    assert archive.author_history(-1).count() == 0
+    assert [r.content for r in archive.search(text="text", pattern="[3-9]$").collect()] == ["text 3"]
+    assert archive.elements("mentions").columns == ["message_id", "channel_id", "position", "element"]
+    assert archive.replies().count() == archive.messages.read().where("message_reference is not null").count()
+
+
+def test_ids_have_small_bloom_filters(archive, rows):
+    archive.insert_messages(project_messages(rows([message(n) for n in range(4)])))
+    path = next(Path(archive.messages.path).glob("created_date=*/part-*.parquet"))
+    found = duckdb.sql(f"select path_in_schema from parquet_metadata('{path}') where bloom_filter_offset is not null").fetchall()
+    # The one author of these rows is in a dictionary, which readers use in the same way.
+    assert found == [("id",)]
+    assert path.stat().st_size < 100_000

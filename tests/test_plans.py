@@ -6,7 +6,6 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from palaver.archive import Archive
 from palaver.operators.dedup import first_wins
 from palaver.operators.filters import human_authors
@@ -15,6 +14,7 @@ from palaver.operators.paging import pages_latest
 from palaver.operators.projections import project_messages
 from palaver.sources.landed import parse_messages, read_lines, usable
 from tests.conftest import message
+from workbench.queries import REGISTRY
 
 DAY = 86_400_000
 STREAMED = ("stream", "live", "incremental", "bootstrap")
@@ -80,8 +80,8 @@ def test_pages_read_whole_rows_of_their_days_only(spark, tmp_path, landed):
     assert "ReadSchema: struct<id:bigint,channel_id:bigint>" in text
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not any(s in n for s in STREAMED)])
+@pytest.mark.parametrize("name", [n for n in REGISTRY if not any(s in n for s in STREAMED)])
 def test_no_cross_joins_and_no_python(spark, name):
-    text = plan(queries()[name](spark, "/root/testdata/sf0.001"))
+    text = plan(REGISTRY[name](spark, "/root/testdata/sf0.001"))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert node not in text
