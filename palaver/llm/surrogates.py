@@ -3,7 +3,7 @@
 Entities are found by patterns: mail addresses, phone numbers, IPv4 addresses, payment cards and other long numbers,
 social security numbers, account numbers (IBAN), hexadecimal secrets, and names after a title. An entity's surrogate
 follows from the key and the entity alone, so all its mentions in the corpus get the same one. It keeps the format:
-separators, lengths, letter case, script (Latin, Cyrillic, Greek), the country code of a phone number, the check digit rule of
+separators, lengths (of whatever size), letter case, script (Latin, Cyrillic, Greek), the country code of a phone number, the check digit rule of
 a card, octets up to 255, and for names the gender that the title tells. Numbers go through a keyed Feistel
 permutation of the numbers of their length, so different numbers never meet.
 
@@ -29,16 +29,17 @@ ATTEMPTS, FEISTEL_ROUNDS = 8, 6
 MALE = "Mr|Herr|Señor|Monsieur|Господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Señora|Señorita|Madame|Mademoiselle|Госпожа"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-#: kind -> pattern; the first kind that matches a whole entity is its kind. Each begins where its characters begin, so matching is linear.
+#: kind -> pattern; the first kind that matches a whole entity is its kind. Each begins where its characters begin, so matching is linear
+#: without a cap on the length: an address takes all of the run before its @, with leaders or unspaced text, and may follow the last match.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,6}\.\p{L}{2,24}",
+    "email": r"(?:(?<![\p{L}\p{N}._%+-])|\G)[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,126}\.\p{L}{2,24}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,7}(?: ?[0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){OCTET}(?:\.{OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.[0-9])",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}+.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
-    "card": r"(?<![\p{L}\p{N}+.-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}+.-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+.-])[0-9]{20,31}(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,5}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+])\+[0-9]{8,15}(?![\p{L}\p{N}])",
-    "name": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'-]{{1,40}})?",
+    "name": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity has one of; texts without are passed by.
@@ -145,14 +146,14 @@ def _ip(value: Column, key: str, tag: Column) -> Column:
 def _scrambled(value: Column, key: str, tag: Column) -> Column:
     """Each letter and digit replaced by one of its alphabet; what is in none of them and is a letter becomes a Latin one."""
 
-    def one(c: Column, i: Column) -> Column:
-        number = _hash(key, tag, value, i.cast("string"))
+    def one(c: Column, i: Column, digest: Column) -> Column:
+        number = _hash(key, tag, digest, i.cast("string"))
         out = F.when(c.rlike(r"^\p{Lu}$"), _pick(ALPHABETS[2], number)).when(c.rlike(r"^\p{L}$"), _pick(ALPHABETS[1], number)).otherwise(c)
         for letters in reversed(ALPHABETS):
             out = F.when(c.rlike(f"^[{letters}]$"), _pick(letters, number)).otherwise(out)
         return out
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+    return _let(F.sha2(value, 256), lambda digest: F.array_join(F.transform(F.split(value, ""), lambda c, i: one(c, i, digest)), ""))
 
 
 def _email(value: Column, key: str, tag: Column) -> Column:
@@ -166,8 +167,10 @@ def _email(value: Column, key: str, tag: Column) -> Column:
 
 
 def _secret(value: Column, key: str, tag: Column) -> Column:
-    parts = [F.sha2(F.concat_ws("\x1f", F.lit(key), tag, F.lit(str(k)), value), 256) for k in range(2)]
-    fresh = F.substr(F.concat(*parts), F.lit(1), F.length(value))
+    """As many digits as the value has, from digests of its own digest."""
+    part = lambda digest, k: F.sha2(F.concat_ws("\x1f", F.lit(key), tag, k.cast("string"), digest), 256)
+    blocks = F.sequence(F.lit(0), F.floor((F.length(value) - 1) / 64).cast("int"))
+    fresh = _let(F.sha2(value, 256), lambda digest: F.substr(F.array_join(F.transform(blocks, lambda k: part(digest, k)), ""), F.lit(1), F.length(value)))
     return F.when(value == F.upper(value), F.upper(fresh)).otherwise(fresh)
 
 

@@ -244,6 +244,22 @@ def test_surrogates(spark, nothing):
     assert pseudonymise(nothing, "k").count() == 0
 
 
+def test_long_entities_are_replaced_whole(spark):
+    lead, key = "." * 70, "0123456789abcdef" * 64
+    texts = [
+        f"John Smith{lead}jsmith@uni.edu", f"{'_' * 5000}jsmith@uni.edu", f"{'联系我们' * 30}jsmith@uni.edu", f"jsmith@{'a' * 80}.{'b.' * 20}edu",
+        "one@uni.edu_jsmith@uni.edu", f"n = {key};", f"n = {key.upper()}0;", f"no {'1234567890' * 3}.", f"Mr Jsmith{'a' * 50}smith left",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pseudonymise(docs, "k").collect()}
+    for i, old in enumerate(texts):
+        assert not re.search(r"(?i)jsmith|uni\.edu|asmith|0123456789|1234567890", got[i]), got[i]
+        assert i in (3, 8) or "@" in old or len(got[i]) == len(old)
+    assert re.fullmatch(r"[A-Z][a-z]+ [A-Z][a-z]+\.{70}[a-z]{6}@[a-z]{3}\.example", got[0])
+    assert re.fullmatch(r"n = [0-9a-f]{1024};", got[5]) and re.fullmatch(r"n = [0-9A-F]{1025};", got[6])
+    assert len({got[5][4 + k : 68 + k] for k in range(0, 1024, 64)}) == 16
+
+
 def test_surrogates_stay_distinct(spark):
     values = [f"{a:03d}-{b:02d}-0000" for a in range(40) for b in range(50)] + [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz"]
     got = surrogates(spark.createDataFrame([(v,) for v in values], "value string"), "k").collect()
