@@ -1,7 +1,7 @@
 """Substring de-duplication: removal of word windows that an earlier document has.
 
 Every window of ``window`` words gets a Rabin-Karp hash. Tasks keep one entry for each hash of a slice
-of documents (what repeats inside a slice is settled there), pack the entries by bucket, and
+of documents (what repeats inside a slice is settled there, and dealt out by document), pack the entries by bucket, and
 Spark's shuffle brings each bucket together; there the smallest document of each hash is found, and all others lose
 the window. The bucket comes from a second hash and the number of buckets grows with the corpus, so a match has 64
 bits and those of the bucket. Windows are judged on the input; overlapping ones merge into maximal intervals.
@@ -30,6 +30,8 @@ from palaver.llm.text import Roller, covered, normalised
 WINDOW = 13
 #: Bytes of text for each bucket of hashes, the least number of buckets, and windows in one slice.
 BUCKET_BYTES, LEAST_BUCKETS, SLICE_WINDOWS = 2 << 20, 256, 400_000
+#: Odd, so that ids with a common stride are dealt to all buckets.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 ENTRIES = "bucket int, settled boolean, ids binary, hashes binary"
 
 
@@ -70,9 +72,11 @@ def _entries(window: int, buckets: int):
             order = np.argsort(where, kind="stable")
             used, cuts = np.unique(where[order], return_index=True)
             rows = [(int(b), False, _pack(ids[x]), hashes[x].tobytes()) for b, x in zip(used, np.split(order, cuts[1:]), strict=True)]
-            if len(late):
-                order = np.argsort(late_ids, kind="stable")
-                rows.append((int(late[0] % np.uint64(buckets)), True, _pack(late_ids[order]), late[order].tobytes()))
+            if len(late):  # these need not meet: each document's own go to a bucket dealt by its id
+                dealt = ((late_ids.view(np.uint64) * SPREAD >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+                order = np.lexsort((late_ids, dealt))
+                used, cuts = np.unique(dealt[order], return_index=True)
+                rows += [(int(b), True, _pack(late_ids[x]), late[x].tobytes()) for b, x in zip(used, np.split(order, cuts[1:]), strict=True)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)],
                 names=["bucket", "settled", "ids", "hashes"],

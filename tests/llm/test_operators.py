@@ -9,10 +9,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from palaver.llm import language, quality_model, rules, toxicity
+from palaver.llm import language, quality_model, repeats, rules, toxicity
 from palaver.llm.components import components
 from palaver.llm.decontaminate import contamination
 from palaver.llm.mixing import mix_sources
@@ -103,6 +104,21 @@ def shingle_sets(texts, k):
     return out
 
 
+def test_settled_windows_are_dealt_to_all_buckets(monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE_WINDOWS", 2000)
+    v, buckets = vocabulary(3, 200), 16
+    family = [v[k % 200] for k in range(120)]
+    batches = [pa.RecordBatch.from_pydict({"id": [64 * (50 * b + k) for k in range(50)], "text": [" ".join([*family, f"end{b}"])] * 50}) for b in range(8)]
+    per_bucket, settled = Counter(), set()
+    for out in repeats._entries(13, buckets)(batches):
+        for b, done, ids, hashes in zip(*(out.column(k).to_pylist() for k in range(4)), strict=True):
+            if done:
+                per_bucket[b] += len(hashes)
+                settled |= {(b, int(i)) for i in repeats._unpack(ids)}
+    assert len(per_bucket) == buckets and max(per_bucket.values()) < 3 * sum(per_bucket.values()) / buckets
+    assert len(settled) == len({i for _, i in settled})
+
+
 @pytest.mark.parametrize("words", [4, 5])
 def test_near_duplicates(docs, texts, nothing, words):
     sets = shingle_sets(texts, words)
