@@ -31,8 +31,8 @@ from palaver.session import scratch_dir
 
 #: Payloads of at least so many bytes are stored once; compressed bytes of a file; bytes of a split; bytes read at once.
 REVISIT_BYTES, FILE_BYTES, SPLIT_BYTES, READ_BYTES = 1000, 64 << 20, 16 << 20, 1 << 20
-#: Headers longer than this aren't looked for.
-HEADER_BYTES = 1 << 16
+#: Bytes first read of a plain record; longer headers and blocks are read on.
+HEAD_BYTES = 1 << 16
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MANIFEST = "path string, records long, bytes long"
 RECORDS = (
@@ -116,35 +116,48 @@ def write_archives(pages: DataFrame, folder: str | None = None, compress: bool =
     return written(rows.mapInArrow(_writer(folder, compress), MANIFEST), "manifest")
 
 
+def _header(raw: bytes) -> tuple[dict | None, int]:
+    """The fields of the header at the start of ``raw`` and where its block begins: None and 0 if it isn't well formed (a further version
+    line has no colon, so it ends there), None and 1 if it goes on after ``raw``."""
+    if not (version := VERSION.match(raw)):
+        return None, 0
+    fields, at = {}, version.end()
+    while (end := raw.find(b"\r\n", at)) != at:
+        if end < 0:
+            return None, 1
+        name, colon, value = raw[at:end].partition(b":")
+        if not colon:
+            return None, 0
+        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        at = end + 2
+    return fields, at + 2
+
+
+def _long(text: str | None) -> int | None:
+    number = int(text) if re.fullmatch(r"-?[0-9]{1,19}", text or "") else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
 def parse(raw: bytes) -> dict | None:
     """The record at the start of ``raw``, with its ``size``; None if a check fails."""
-    if not VERSION.match(raw):
+    fields, start = _header(raw)
+    if fields is None:
         return None
-    end = raw.find(b"\r\n\r\n", 0, HEADER_BYTES)
-    if end < 0:
-        return None
-    fields = {}
-    for line in raw[:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            return None
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     length = fields.get("content-length", "")
     if not re.fullmatch(r"[0-9]{1,15}", length) or "warc-type" not in fields:
         return None
-    block = raw[end + 4 : end + 4 + int(length)]
-    size = end + 8 + int(length)
-    if raw[end + 4 + int(length) : size] != b"\r\n\r\n":
+    block = raw[start : start + int(length)]
+    size = start + int(length) + 4
+    if raw[size - 4 : size] != b"\r\n\r\n":
         return None
     kind, digest = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "response" and re.fullmatch("[0-9a-f]{40}", digest) and hashlib.sha1(block).hexdigest() != digest:
         return None
-    whole = lambda name: int(fields[name]) if re.fullmatch(r"-?[0-9]{1,18}", fields.get(name, "")) else None
     return {
-        "size": size, "record_type": kind, "page_id": whole("x-page-id"), "target_uri": fields.get("warc-target-uri"),
+        "size": size, "record_type": kind, "page_id": _long(fields.get("x-page-id")), "target_uri": fields.get("warc-target-uri"),
         "payload_digest": digest or hashlib.sha1(block).hexdigest(),
-        "payload_bytes": len(block) if kind == "response" else whole("x-payload-bytes"),
-        "refers_to": whole("x-refers-to-page-id"), "payload": block,
+        "payload_bytes": len(block) if kind == "response" else _long(fields.get("x-payload-bytes")),
+        "refers_to": _long(fields.get("x-refers-to-page-id")), "payload": block,
     }
 
 
@@ -189,16 +202,20 @@ def _member(window: _Window, offset: int) -> dict | None:
 
 
 def _plain(window: _Window, offset: int) -> dict | None:
-    need = HEADER_BYTES
+    need = HEAD_BYTES
     while True:
         raw = window.need(offset, need)
-        found = parse(raw)
-        if found is not None:
-            return found
-        head = raw[:HEADER_BYTES]
-        stated = re.search(rb"\r\nContent-Length: *([0-9]{1,15})\r\n", head[: head.find(b"\r\n\r\n") + 2], re.I)
-        total = head.find(b"\r\n\r\n") + 8 + int(stated[1]) if stated else 0
-        if total <= need or offset + need >= window.size or total > window.size - offset:
+        fields, start = _header(raw)
+        if fields is None and (not start or len(raw) < need):
+            return None
+        if fields is None:
+            need = 2 * len(raw)
+            continue
+        length = fields.get("content-length", "")
+        total = start + int(length) + 4 if re.fullmatch(r"[0-9]{1,15}", length) else 0
+        if total <= len(raw):
+            return parse(raw)
+        if total > window.size - offset:
             return None
         need = total
 

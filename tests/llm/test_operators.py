@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from palaver.llm import language, quality_model, repeats, rules, toxicity
+from palaver.llm import language, quality_model, repeats, rules, toxicity, warc
 from palaver.llm.components import components
 from palaver.llm.decontaminate import contamination
 from palaver.llm.mixing import mix_sources
@@ -300,6 +300,17 @@ def test_archives_come_back(spark, tmp_path):
     assert read_archives(spark, write_archives(pages.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("compress", [True, False])
+def test_long_ids_and_urls_come_back(spark, compress):
+    big, url = "x" * 2000, "https://h/" + "q" * (100 << 10)
+    rows = [(2**63 - 1, url, big), (10**18, "u2", big), (-(2**63), f"{url}2", "small"), (3, f"{url}WARC/1.1", "last")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = read_archives(spark, write_archives(pages, compress=compress))
+    want = [(i, u, "revisit" if i == 10**18 else "response", 2**63 - 1 if i == 10**18 else None) for i, u, _ in rows]
+    assert rows_of(got, "page_id", "target_uri", "record_type", "refers_to") == sorted(want, key=repr)
+    assert warc.parse(record("response", 2**63, "u", b"", hashlib.sha1(b"").hexdigest(), 0, None))["page_id"] is None
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_damaged_archives_are_salvaged(spark, tmp_path, compress):
     raws = []
