@@ -9,10 +9,11 @@ permutation of the numbers of their length, so different numbers never meet.
 
 The distinct entities of the corpus are a table. Two of one type with the same surrogate, or a surrogate that is itself an
 entity of the corpus, are tried again with the next attempt, all but the smallest, until none is left; distinct entities stay
-distinct. Everything is DataFrame expressions. Only rows with entities are joined with their surrogates.
+distinct. For names this holds for the given names of a gender and the family names on their own, and full names are built from
+them, so a family name has the same made-up one wherever it stands; further attempts add syllables. Everything is DataFrame expressions. Only rows with entities are joined with their surrogates.
 
 Defined cases: null text stays null, text without entities stays as it is, repeated rows and rows that share an id get the same
-surrogates; rows with a null id are treated like others. No rows give no rows. An entity that still meets others after ``ATTEMPTS``
+surrogates; rows with a null id are treated like others. No rows give no rows. An entity other than a name that still meets others after ``ATTEMPTS``
 attempts (too few forms) gets its digest appended. Other columns stay, unless they are named like the added one.
 """
 
@@ -174,28 +175,18 @@ def _secret(value: Column, key: str, tag: Column) -> Column:
     return F.when(value == F.upper(value), F.upper(fresh)).otherwise(fresh)
 
 
-def _name_part(part: Column, key: str, tag, kind: Column) -> Column:
-    """A made-up name of the part's script; ``kind`` is 0 male, 1 female, 2 family name."""
+def _name_part(part: Column, key: str, attempt: Column, kind: Column) -> Column:
+    """A made-up name of the part's script; ``kind`` is 0 male, 1 female, 2 family name. Each attempt has one more syllable."""
 
     def of(script: str) -> Column:
         starts, middles, ends = SYLLABLES[script]
-        n = [_hash(key, "name", kind.cast("string"), tag, F.lower(part), k) for k in range(4)]
-        last = F.when(kind == 0, _pick(ends[0], n[3])).when(kind == 1, _pick(ends[1], n[3])).otherwise(_pick(ends[2], n[3]))
-        return F.initcap(F.concat(_pick(starts, n[0]), _pick(starts, n[1]), _pick(middles, n[2]), last))
+        number = lambda k: _hash(key, "name", kind.cast("string"), attempt.cast("string"), part, k)
+        more = F.transform(F.sequence(F.lit(1), attempt), lambda k: _pick(starts, number(k.cast("string"))))
+        n = number("last")
+        last = F.when(kind == 0, _pick(ends[0], n)).when(kind == 1, _pick(ends[1], n)).otherwise(_pick(ends[2], n))
+        return F.initcap(F.concat(_pick(starts, number("first")), _pick(starts, number("second")), F.when(attempt > 0, F.array_join(more, "")).otherwise(""), _pick(middles, number("middle")), last))
 
-    made = F.when(part.rlike(r"\p{IsCyrillic}"), of("cyrillic")).otherwise(of("latin"))
-    return F.when((F.length(part) > 1) & (part == F.upper(part)), F.upper(made)).otherwise(made)
-
-
-def _name(value: Column, key: str, attempt: Column) -> Column:
-    """Title kept; a given name by gender, a family name on its own, so that both are the same in every name they are part of.
-    A further attempt changes the given name where there is one."""
-    parts = F.split(value, " ")
-    gender = F.when(value.rlike(rf"^(?:{FEMALE})\b"), 1).otherwise(0)
-    given = _name_part(F.get(parts, F.lit(1)), key, attempt, gender)
-    alone = _name_part(F.get(parts, F.lit(1)), key, attempt, F.lit(2))
-    family = _name_part(F.get(parts, F.lit(2)), key, F.lit("0"), F.lit(2))
-    return F.when(F.size(parts) > 2, F.concat_ws(" ", F.get(parts, F.lit(0)), given, family)).otherwise(F.concat_ws(" ", F.get(parts, F.lit(0)), alone))
+    return F.when(part.rlike(r"\p{IsCyrillic}"), of("cyrillic")).otherwise(of("latin"))
 
 
 def kind_of(value: Column) -> Column:
@@ -205,28 +196,61 @@ def kind_of(value: Column) -> Column:
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     tag = attempt.cast("string")
     out = F.when(kind == "email", _email(value, key, tag)).when(kind == "ip", _ip(value, key, tag)).when(kind == "secret", _secret(value, key, tag))
-    out = out.when(kind == "card", _card(value, key, tag)).when(kind == "phone", _phone(value, key, tag)).when(kind == "name", _name(value, key, tag))
+    out = out.when(kind == "card", _card(value, key, tag)).when(kind == "phone", _phone(value, key, tag))
     out = out.when(kind == "iban", F.concat(F.substr(value, F.lit(1), F.lit(2)), _refilled(F.substr(value, F.lit(3)), _permuted(_digits(value), key, tag))))
     out = out.otherwise(_refilled(value, _permuted(_digits(value), key, tag)))
     return F.when(attempt < ATTEMPTS, out).otherwise(F.concat(out, F.lit("-"), F.substr(F.sha2(F.concat(F.lit(key), value), 256), F.lit(1), F.lit(16))))
 
 
-def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(value, kind, surrogate) of the distinct values, all surrogates different and none of them a value."""
-    found = written(entities.select("value").distinct().select("value", kind_of(F.col("value")).alias("kind")), "entities")
-    made = lambda df: df.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
+def _settled(found: DataFrame, taken: DataFrame, form) -> DataFrame:
+    """``found`` (value and others) with ``form`` of it and the attempt as surrogate, all different and none of them in ``taken``."""
+    made = lambda df: df.withColumn("surrogate", form(F.col("attempt")))
     table = written(made(found.withColumn("attempt", F.lit(0))), "surrogates")
     while True:  # each round raises the attempt of some, and that ends in forms of their own
         least = table.groupBy("surrogate").agg(F.min("value").alias("first"), F.count("*").alias("n"))
         again = table.join(least.filter("n > 1"), "surrogate").filter("value != first").select("value")
-        real = table.join(found.select(F.col("value").alias("surrogate")), "surrogate", "left_semi").select("value")
+        real = table.join(taken, "surrogate", "left_semi").select("value")
         clashes = written(again.unionByName(real).distinct(), "clashes")
         n = clashes.count()
         if not n:
-            break
+            return table
         marked = table.join(maybe_broadcast(clashes.withColumn("clash", F.lit(1)), n), "value", "left")
-        table = written(made(marked.withColumn("attempt", F.col("attempt") + F.coalesce("clash", F.lit(0))).select("value", "kind", "attempt")), "surrogates")
-    return table.select("value", "kind", "surrogate")
+        table = written(made(marked.withColumn("attempt", F.col("attempt") + F.coalesce("clash", F.lit(0))).select(*found.columns, "attempt")), "surrogates")
+
+
+def _names(names: DataFrame, key: str) -> DataFrame:
+    """(value, kind, surrogate) of distinct names: the title is kept, and each given name of a gender and each family name has one
+    made-up name, in capitals where the part is. No two of a role share one and none is a part of that role in the corpus, so full names don't
+    meet either. Parts that differ in case otherwise are different names, and one of them shares its made-up name with the capitals."""
+    parts = F.split(F.col("value"), " ")
+    gender = F.when(F.col("value").rlike(rf"^(?:{FEMALE})\b"), 1).otherwise(0)
+    split = names.select("value", F.get(parts, F.lit(0)).alias("title"), F.size(parts).alias("n"), gender.alias("gender"), F.posexplode(F.slice(parts, 2, 2)).alias("place", "part"))
+    role = F.when((F.col("n") > 2) & (F.col("place") == 0), F.col("gender")).otherwise(2)
+    split = written(split.select("value", "title", "place", "part", role.alias("role")), "name-mentions")
+    lower = F.lower("part")
+    capital = (F.col("part") == F.upper(lower)) & (F.length("part") > 1)
+    distinct = written(split.select("role", "part").distinct().select("role", "part", lower.alias("lower"), capital.alias("capital")), "name-parts")
+    main = distinct.groupBy("role", "lower").agg(F.max(F.when(~F.col("capital"), F.col("part"))).alias("main"))
+    own = F.when(F.col("capital") | (F.col("part") == F.col("main")), F.col("lower")).otherwise(F.col("part"))
+    keyed = written(distinct.join(main, ["role", "lower"]).select("role", "part", "capital", F.concat_ws(" ", F.col("role").cast("string"), own).alias("own")), "name-keys")
+    tagged = lambda x: F.concat_ws(" ", F.col("role").cast("string"), F.lower(x))
+    found = keyed.select(F.col("own").alias("value"), "role").distinct()
+    form = lambda attempt: tagged(_name_part(F.substring_index("value", " ", -1), key, attempt, F.col("role")))
+    settled = _settled(found, distinct.select(tagged("part").alias("surrogate")).distinct(), form)
+    shown = F.initcap(F.substring_index("surrogate", " ", -1))
+    shown = F.when(F.col("capital"), F.upper(shown)).otherwise(shown)
+    fresh = written(keyed.join(settled.select(F.col("value").alias("own"), "surrogate"), "own").select("role", "part", shown.alias("shown")), "name-surrogates")
+    built = split.join(maybe_broadcast(fresh), ["role", "part"]).groupBy("value", "title").agg(F.sort_array(F.collect_list(F.struct("place", "shown"))).alias("parts"))
+    return built.select("value", F.lit("name").alias("kind"), F.concat_ws(" ", "title", F.col("parts")["shown"]).alias("surrogate"))
+
+
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """(value, kind, surrogate) of the distinct values, all surrogates different and none of them a value."""
+    found = written(entities.select("value").distinct().select("value", kind_of(F.col("value")).alias("kind")), "entities")
+    taken = found.select(F.col("value").alias("surrogate"))
+    table = _settled(found.filter("kind != 'name'"), taken, lambda attempt: surrogate(F.col("kind"), F.col("value"), attempt, key))
+    table, names = table.select("value", "kind", "surrogate"), found.filter("kind = 'name'")
+    return table if names.isEmpty() else table.unionByName(written(_names(names, key), "names"))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

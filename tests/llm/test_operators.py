@@ -276,6 +276,21 @@ def test_long_entities_are_replaced_whole(spark):
     assert len({got[5][4 + k : 68 + k] for k in range(0, 1024, 64)}) == 16
 
 
+def test_names_share_their_parts_and_stay_distinct(spark):
+    letters = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:04d}")
+    names = [f"F{letters(k)}" for k in range(7000)]
+    values = [*(f"Mr {n}" for n in names), *(f"Mr John {n}" for n in names), "Mrs Anna Faaaa", "Mr FAAAA", "Mr McDonald", "Mr Mcdonald", "Mr O'BRIEN", "Ms Eva O'Brien", "Mr. John Faaaa"]
+    got = {r["value"]: r["surrogate"] for r in surrogates(spark.createDataFrame([(v,) for v in values], "value string"), "k").filter("kind = 'name'").collect()}
+    assert set(got) == set(values)
+    assert len(set(got.values())) == len(got) and not set(got.values()) & set(values)
+    family = {n: got[f"Mr {n}"].split()[-1] for n in names}
+    assert len(set(family.values())) == len(names)
+    assert all(re.fullmatch("Mr [A-Z][a-z]+", got[f"Mr {n}"]) and got[f"Mr John {n}"].split()[2] == family[n] for n in names)
+    assert len({got[f"Mr John {n}"].split()[1] for n in names}) == 1 and got["Mr. John Faaaa"] == got["Mr John Faaaa"].replace("Mr", "Mr.")
+    assert got["Mrs Anna Faaaa"].split()[2] == family["Faaaa"] and got["Mr FAAAA"] == f"Mr {family['Faaaa'].upper()}"
+    assert got["Ms Eva O'Brien"].split()[2].upper() == got["Mr O'BRIEN"].split()[1]
+
+
 def test_surrogates_stay_distinct(spark):
     values = [f"{a:03d}-{b:02d}-0000" for a in range(40) for b in range(50)] + [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz"]
     got = surrogates(spark.createDataFrame([(v,) for v in values], "value string"), "k").collect()
