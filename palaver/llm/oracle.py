@@ -85,3 +85,23 @@ select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items
   sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(ws), false) as contaminated
 from w left join hit using (doc_id) left join named using (doc_id)
 """
+
+ORACLE["op11_hard_negatives"] = """
+with v as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as materialized (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, positive_id, cast(row_number() over w as integer) as rank, s.other_id as negative_id, positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * positive_score <= 100 * s.score and s.score <= positive_score
+window w as (partition by p.anchor_id, positive_id order by s.score desc, s.other_id)
+qualify row_number() over w <= 5
+"""

@@ -9,8 +9,10 @@ from palaver.llm import language, quality_model, toxicity
 from palaver.llm.decontaminate import contamination
 from palaver.llm.mixing import mix_sources
 from palaver.llm.near import near_duplicates
+from palaver.llm.negatives import hard_negatives, whole
 from palaver.llm.repeats import remove_repeats
 from palaver.llm.rules import quality_rules
+from palaver.llm.spelling import NOISE, spelling_groups
 from palaver.llm.surrogates import pseudonymise
 from palaver.llm.tables import crc_fold, maybe_broadcast, table
 from palaver.llm.warc import read_archives, write_archives
@@ -72,10 +74,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), whole(F.col("embedding")).alias("vector")
+    )
+    mined = hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+    return mined.withColumn("rank", F.col("rank").cast("int"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"), noise=NOISE)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_salvage, op2_quality_discriminant, op3_language_spans, op4_surrogates, op5_toxicity_severity,
         op6_repeated_windows, op7_near_duplicates, op8_weak_supervision, op9_source_mixture, op10_decontamination,
+        op11_hard_negatives, op12_spelling_variants,
     )
 }

@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         duck.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     ours = QUERIES[name](spark, SF_DIR)
     columns = sorted(ours.columns)
