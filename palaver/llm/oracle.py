@@ -105,3 +105,22 @@ from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * positive_scor
 window w as (partition by p.anchor_id, positive_id order by s.score desc, s.other_id)
 qualify row_number() over w <= 5
 """
+
+# For the tables given, whose pages have one article each and only these character references in it.
+ORACLE["op13_wrapper_induction"] = r"""
+with inside as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|\z)', 1) as body from pages
+), split as (
+  select page_id, url, string_split_regex(replace(body, '<br>', ' '), '</?(p|h1)>') as parts from inside
+), bare as (
+  select page_id, url, list_transform(parts, lambda x: regexp_replace(x, '<[^>]*>?', '', 'g')) as lines from split
+), decoded as (
+  select page_id, url, list_transform(lines, lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) as lines from bare
+), plain as (
+  select page_id, url, list_transform(lines, lambda x: trim(regexp_replace(x, '[ \t\r\n]+', ' ', 'g'))) as lines from decoded
+), text as (
+  select page_id, url, coalesce(array_to_string(list_filter(lines, lambda x: x <> ''), chr(10)), '') as text from plain
+)
+select page_id, url, text, length(text) as n_chars from text
+"""

@@ -16,6 +16,7 @@ from palaver.llm.spelling import NOISE, spelling_groups
 from palaver.llm.surrogates import pseudonymise
 from palaver.llm.tables import crc_fold, maybe_broadcast, table
 from palaver.llm.warc import read_archives, write_archives
+from palaver.llm.wrappers import main_text
 
 
 #: Of the registered query; a real corpus takes a secret one.
@@ -87,11 +88,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"), noise=NOISE)
 
 
+def op13_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_salvage, op2_quality_discriminant, op3_language_spans, op4_surrogates, op5_toxicity_severity,
         op6_repeated_windows, op7_near_duplicates, op8_weak_supervision, op9_source_mixture, op10_decontamination,
-        op11_hard_negatives, op12_spelling_variants,
+        op11_hard_negatives, op12_spelling_variants, op13_wrapper_induction,
     )
 }
