@@ -9,51 +9,24 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import StructType
 
-from palaver.functions.scalars import created_date
-from palaver.operators import access, bounds, paging
+from palaver.messages import MessageTable
+from palaver.operators import access, paging
 from palaver.operators.dedup import last_wins
-from palaver.operators.joins import MAX_BROADCAST_ROWS
-from palaver.operators.merge import insert_first
-from palaver.operators.projections import MESSAGE_ORDER
 from palaver.plans.sync import run_pass
-from palaver.schemas import CHANNELS, GUILDS, MESSAGES, PROGRESS, QUARANTINE, USERS
-from palaver.session import path_missing
+from palaver.schemas import CHANNELS, GUILDS, PROGRESS, QUARANTINE, USERS
 from palaver.sources.landed import ANY_AGE, MAX_BYTES_PER_TRIGGER, ensure_folder, read_lines
+from palaver.storage import no_rows, read_if_there
 from palaver.streaming.live import FEEDS, start_feed
 
 log = logging.getLogger(__name__)
 
 GENERATION = StructType().add("generation", "long")
 
-#: Messages are sorted by channel; these let a read of one author or one id pass over row groups. Their size follows the values;
-#: a column whose values repeat enough has a dictionary instead, which serves as well.
-BLOOM_FILTERS = {
-    "parquet.bloom.filter.adaptive.enabled": "true",
-    "parquet.bloom.filter.enabled#author_id": "true",
-    "parquet.bloom.filter.enabled#id": "true",
-}
-
-
-def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
-    columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema]
-    return spark.range(0).select(*columns)
-
-
-def _read_if_there(spark: SparkSession, path: str, source: str, schema: StructType) -> DataFrame:
-    """Rows below ``path``; none where the folder does not exist yet."""
-    try:
-        return spark.read.format(source).schema(schema).load(path)
-    except AnalysisException as error:
-        if path_missing(error):
-            return _no_rows(spark, schema)
-        raise
-
 
 class KeyedTable:
     """Last-write-wins table: a snapshot plus appended changes, merged by ``arrival_seq`` on read.
@@ -71,10 +44,10 @@ class KeyedTable:
     def create(self) -> None:
         """Start an empty table where there is none."""
         if self.generation() is None:
-            self._start(0, _no_rows(self.spark, self.schema))
+            self._start(0, no_rows(self.spark, self.schema))
 
     def generation(self) -> int | None:
-        log = _read_if_there(self.spark, f"{self.path}/generations", "json", GENERATION)
+        log = read_if_there(self.spark, f"{self.path}/generations", "json", GENERATION)
         return log.agg(F.max("generation")).first()[0]
 
     def read(self) -> DataFrame:
@@ -95,7 +68,7 @@ class KeyedTable:
 
     def _start(self, generation: int, snapshot: DataFrame) -> None:
         snapshot.write.mode("overwrite").parquet(f"{self.path}/snapshots/generation={generation}")
-        no_changes = _no_rows(self.spark, self.schema)
+        no_changes = no_rows(self.spark, self.schema)
         no_changes.write.mode("overwrite").parquet(f"{self.path}/changes/generation={generation}")
         log = self.spark.range(1).select(F.lit(generation).cast("long").alias("generation"))
         log.coalesce(1).write.mode("append").json(f"{self.path}/generations")
@@ -111,82 +84,6 @@ class KeyedTable:
         )
 
 
-class MessageTable:
-    """First-write-wins table, append only, partitioned by the UTC day held in the id.
-
-    An id always falls into one partition, so a batch is compared with its own days only. Files
-    are sorted by ``channel_id, id``: row groups then have narrow ranges of both.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-        self.layout = StructType([*MESSAGES.fields]).add("created_date", DateType())
-
-    def create(self) -> None:
-        """Adds no rows; makes the folder of the table."""
-        self._write(_no_rows(self.spark, MESSAGES))
-
-    def read(self) -> DataFrame:
-        return self._days().drop("created_date")
-
-    def absent(
-        self, batch: DataFrame, batch_rows: int | None = None, all_days: bool = False
-    ) -> DataFrame:
-        """Rows of ``batch`` to append: the first of each id, if that id is not stored.
-
-        Finding the days of a batch reads it once more. With ``all_days`` it is taken to reach over
-        the whole history, and the stored ids of all days are read instead.
-        """
-        stored = self._days().select("id") if all_days else self._keys_on_days_of(batch)
-        return insert_first(stored, batch, order=MESSAGE_ORDER, batch_rows=batch_rows)
-
-    def append(self, rows: DataFrame) -> None:
-        self._write(rows.select(*MESSAGES.fieldNames()))
-
-    def channel(
-        self, channel_id: int, before: int | None = None, after: int | None = None
-    ) -> DataFrame:
-        """Messages of a channel between two ids; days outside them are not read."""
-        rows = self._days().where(F.col("channel_id") == F.lit(channel_id))
-        if before is not None:
-            rows = rows.where(F.col("id") < F.lit(before))
-            rows = rows.where(F.col("created_date") <= created_date(F.lit(before)))
-        if after is not None:
-            rows = rows.where(F.col("id") > F.lit(after))
-            rows = rows.where(F.col("created_date") >= created_date(F.lit(after)))
-        return rows.drop("created_date")
-
-    def whole_rows(self, page: DataFrame, limit: int) -> DataFrame:
-        """The rows of a page of at most ``limit`` ids; only the days of the page are read."""
-        keys = page.select("id", created_date(F.col("id")).alias("created_date"))
-        if limit <= MAX_BROADCAST_ROWS:
-            keys = F.broadcast(keys)
-        return self._days().join(keys, ["created_date", "id"], "left_semi").drop("created_date")
-
-    def _days(self) -> DataFrame:
-        return self.spark.read.schema(self.layout).parquet(self.path)
-
-    def _keys_on_days_of(self, batch: DataFrame) -> DataFrame:
-        # 63 bits of id reach over 25,500 days: the broadcast has a fixed bound whatever the batch
-        # holds. Its filter lets Spark prune the partitions of the stored side by it.
-        days = batch.where(F.col("id") >= 0).select(created_date(F.col("id")).alias("created_date"))
-        stored = self._days().select("id", "created_date")
-        return stored.join(F.broadcast(days.distinct()), "created_date", "left_semi").select("id")
-
-    def _write(self, rows: DataFrame) -> None:
-        # Rebalancing brings a day together and lets AQE split a day that is too large for a task.
-        (
-            rows.withColumn("created_date", created_date(F.col("id")))
-            .hint("rebalance", "created_date")
-            .sortWithinPartitions("created_date", "channel_id", "id")
-            .write.mode("append")
-            .options(**BLOOM_FILTERS)
-            .partitionBy("created_date")
-            .parquet(self.path)
-        )
-
-
 class Archive:
     """Tables below one root folder that every executor can reach."""
 
@@ -216,7 +113,7 @@ class Archive:
 
     def progress(self) -> DataFrame:
         """Messages processed per batch and channel; ``processed`` counts known ones again."""
-        return _read_if_there(self.spark, f"{self.root}/progress", "parquet", PROGRESS)
+        return read_if_there(self.spark, f"{self.root}/progress", "parquet", PROGRESS)
 
     def write_progress(self, batch_id: int, processed: DataFrame) -> None:
         """A replayed batch replaces its own counts."""
@@ -226,7 +123,7 @@ class Archive:
     def quarantine(self, feed: str) -> DataFrame:
         """Rejected lines of a feed with the reason."""
         path = f"{self.root}/quarantine/{feed}"
-        return _read_if_there(self.spark, path, "parquet", QUARANTINE)
+        return read_if_there(self.spark, path, "parquet", QUARANTINE)
 
     def write_quarantine(self, feed: str, batch_id: int, rows: DataFrame) -> None:
         """A replayed batch replaces its own lines."""
@@ -247,26 +144,21 @@ class Archive:
         self.users.append(rows)
 
     def max_message_id_in_channel(self, channel_id: int) -> int | None:
-        return bounds.max_message_id_in_channel(self.messages.read(), channel_id)
+        found = self.messages.bounds_of(channel_id)
+        return found and found[1]
 
     def min_message_id_in_channel(self, channel_id: int) -> int | None:
-        return bounds.min_message_id_in_channel(self.messages.read(), channel_id)
-
-    # Pages are found on the id column alone; then the few rows are read whole.
+        found = self.messages.bounds_of(channel_id)
+        return found and found[0]
 
     def page_latest(self, channel_id: int, limit: int = paging.MESSAGE_PAGE) -> DataFrame:
-        page = paging.page_latest(self.messages.channel(channel_id), channel_id, limit)
-        return self.messages.whole_rows(page, limit).orderBy(F.col("id").desc())
+        return self.messages.page(channel_id, limit)
 
     def page_before(self, channel_id: int, before: int, limit: int = paging.MESSAGE_PAGE) -> DataFrame:
-        rows = self.messages.channel(channel_id, before=before)
-        page = paging.page_before(rows, channel_id, before, limit)
-        return self.messages.whole_rows(page, limit).orderBy(F.col("id").desc())
+        return self.messages.page(channel_id, limit, before=before)
 
     def page_after(self, channel_id: int, after: int, limit: int = paging.MESSAGE_PAGE) -> DataFrame:
-        rows = self.messages.channel(channel_id, after=after)
-        page = paging.page_after(rows, channel_id, after, limit)
-        return self.messages.whole_rows(page, limit).orderBy("id")
+        return self.messages.page(channel_id, limit, after=after)
 
     def timeline(self, channel_id: int) -> DataFrame:
         return access.channel_timeline(self.messages.channel(channel_id), channel_id)

@@ -13,7 +13,7 @@ MAX_BROADCAST_ROWS = 1_000_000
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
-    key: str,
+    key: str | list[str],
     spread_by: str,
     how: str = "left",
     lookup_rows: int | None = None,
@@ -30,7 +30,8 @@ def lookup_join(
         return facts.join(F.broadcast(lookup), key, how)
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_lookup, [key, "_salt"], how).drop("_salt")
+    keys = [key] if isinstance(key, str) else key
+    return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
 
 
 def absent_rows(

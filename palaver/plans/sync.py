@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +91,9 @@ def run_pass(
 ) -> None:
     """Write a polled pass: guilds, channels, then the authors and messages of the walk.
 
-    A pass reads channels from end to end, so its messages are compared with all days. Lines that can't be
-    used are quarantined as those of ``polled_<feed>``; the same ``pass_id`` replaces them.
+    A pass reads channels from end to end, so its messages are compared with the table by digests of channel days. Lines
+    are parsed by each step that needs them, with the columns that it needs: nothing of the landing folder is kept. Lines that
+    can't be used are quarantined as those of ``polled_<feed>``; the same ``pass_id`` replaces them.
     """
     guilds = parse_guilds(guild_lines)
     archive.write_quarantine("polled_guilds", pass_id, rejected(guilds))
@@ -104,12 +104,9 @@ def run_pass(
     archive.upsert_channels(project_channels(message_bearing(channels)))
     walked = walk(channels)
     walk_rows = walked.count()
-    parsed = parse_messages(message_lines).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        archive.write_quarantine("polled_messages", pass_id, rejected(parsed))
-        messages = usable(parsed)
-        archive.upsert_users(users_met(messages, walked, walk_rows))
-        absent = archive.messages.absent(project_messages(human_authors(messages)), all_days=True)
-        archive.messages.append(with_walk_guild(absent, walked, walk_rows))
-    finally:
-        parsed.unpersist()
+    parsed = parse_messages(message_lines)
+    archive.write_quarantine("polled_messages", pass_id, rejected(parsed))
+    messages = usable(parsed)
+    archive.upsert_users(users_met(messages, walked, walk_rows))
+    met = with_walk_guild(project_messages(human_authors(messages)), walked, walk_rows)
+    archive.messages.append(archive.messages.absent_by_digest(met))

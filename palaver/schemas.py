@@ -133,6 +133,11 @@ MESSAGES = _struct(
 # Written per micro-batch.
 PROGRESS = _struct(channel_id="long", processed="long", batch_id="long")
 
+# Versions of the days of the messages table, and digests of the ids of a channel and day.
+DAY_VERSIONS = _struct("version created_date level n", version="long", created_date="date", level="integer", replaces_from="long", n="long")
+
+DAY_DIGESTS = _struct(channel_id="long", created_date="date", n="long", lo="long", hi="long", digest_a="long", digest_b="long")
+
 QUARANTINE = _struct(
     raw_json="string", source_file="string", reject_reason="string", batch_id="long"
 )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import re
 from pathlib import Path
 
 import duckdb
 import pytest
 
+from palaver import messages
 from palaver.archive import Archive
 from palaver.operators.projections import project_messages, project_users
 from palaver.sources.landed import parse_messages, usable
@@ -47,21 +48,63 @@ def test_inserts_are_first_write_wins(archive, rows):
     assert contents(archive) == {ID_STEP: "a", DAY * ID_STEP: "b", 2 * DAY * ID_STEP: "c"}
 
 
-def test_a_half_written_batch_is_completed_by_its_replay(archive, rows):
+def files(archive, pattern="*"):
+    return sorted(Path(archive.messages.path).glob(f"data/version=*/created_date={pattern}/part-*.parquet"))
+
+
+def test_a_half_written_batch_is_not_seen_and_completed_by_its_replay(archive, rows, monkeypatch):
     batch = project_messages(rows([message(n * DAY) for n in range(6)]))
+    archive.insert_messages(project_messages(rows([message(7)])))
+
+    def fails(_):
+        raise RuntimeError
+
+    with monkeypatch.context() as broken:
+        broken.setattr(archive.messages, "_commit", fails)
+        with pytest.raises(RuntimeError):
+            archive.insert_messages(batch)
+    assert len(files(archive)) == 7 and list(contents(archive)) == [7 * ID_STEP]
     archive.insert_messages(batch)
     whole = contents(archive)
-    victims = sorted(Path(archive.messages.path).glob("created_date=*/part-*"))[:2]
-    for path in victims:
-        os.replace(path, path.with_name("_" + path.name))  # hidden from readers
-    assert len(contents(archive)) == 4
+    assert len(whole) == 7
     archive.insert_messages(batch)
-    assert contents(archive) == whole
+    assert contents(archive) == whole and len(files(archive)) == 7
+
+
+def test_days_have_few_files_after_many_batches(archive, rows, monkeypatch):
+    """50 batches of two days; a compaction that breaks off leaves what was there."""
+    monkeypatch.setattr(messages, "FAN_IN", 4)
+    monkeypatch.setattr(messages, "COMMITS_PER_GENERATION", 9)
+    for n in range(50):
+        batch = project_messages(rows([message(2 * n), message(2 * n + 1), message(DAY + n)]))
+        if n == 31:
+            with monkeypatch.context() as broken:
+                broken.setattr(archive.messages, "compact", lambda: None)
+                archive.insert_messages(batch)
+                broken.undo()
+                monkeypatch.setattr(messages, "FAN_IN", 4)
+                monkeypatch.setattr(messages, "COMMITS_PER_GENERATION", 9)
+            with monkeypatch.context() as broken:
+                broken.setattr(archive.messages, "_commit", lambda _: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    archive.messages.compact()
+            assert len(contents(archive)) == 3 * (n + 1)
+        else:
+            archive.insert_messages(batch)
+    live = archive.messages.days()
+    assert all(len(versions) <= 3 * 3 and sum(v.rows for v in versions) in (50, 100) for versions in live.values())
+    assert len(contents(archive)) == 150
+    assert archive.messages.vacuum() > 50 and archive.messages.vacuum() == 0
+    assert len(files(archive)) == sum(map(len, live.values())) and len(contents(archive)) == 150
+    found = archive.messages.bounds().collect()
+    assert [(r.channel_id, r.lo, r.hi, r.n) for r in found] == [(10, 0, (DAY + 49) * ID_STEP, 150)]
+    archive.insert_messages(project_messages(rows([message(3, content="late"), message(5000)])))
+    assert len(contents(archive)) == 151
 
 
 def test_one_partition_per_utc_day(archive, rows):
     archive.insert_messages(project_messages(rows([message(0), message(DAY - 1), message(DAY)])))
-    days = sorted(p.name for p in Path(archive.messages.path).glob("created_date=*"))
+    days = sorted(p.parent.name for p in files(archive))
     assert days == ["created_date=2015-01-01", "created_date=2015-01-02"]
 
 
@@ -76,8 +119,7 @@ def test_a_hot_day_is_split_over_tasks(spark, archive, rows):
         archive.messages.append(batch)
     finally:
         spark.conf.set(key, before)
-    files = {p.name: len(list(p.glob("part-*"))) for p in Path(archive.messages.path).glob("created_date=*")}
-    assert files["created_date=2015-01-01"] > 1 and files["created_date=2015-01-03"] == 1
+    assert len(files(archive, "2015-01-01")) > 1 and len(files(archive, "2015-01-03")) == 1
     assert len(contents(archive)) == 4003
 
 
@@ -113,6 +155,26 @@ def test_bounds_and_pages_on_the_table(archive, rows):
     assert [r.id // ID_STEP // DAY for r in archive.timeline(10).collect()] == list(range(1, 8))
 
 
+def days_read(df):
+    return sorted({re.search("created_date=([0-9-]+)", f)[1] for f in df.inputFiles()})
+
+
+def test_pages_read_the_days_that_fill_them(archive, rows):
+    records = [message(n * DAY + k) for n in range(8) for k in range(4)] + [message(n * DAY + 9, channel_id="11") for n in range(20)]
+    archive.insert_messages(project_messages(rows(records)))
+    archive.insert_messages(project_messages(rows([message(5 * DAY + 7)])))
+    assert days_read(archive.page_latest(10, limit=4)) == ["2015-01-08"]
+    assert days_read(archive.page_latest(10, limit=5)) == ["2015-01-07", "2015-01-08"]
+    # The cursor lies inside a day, whose rows may be on either side of it.
+    assert days_read(archive.page_before(10, (3 * DAY + 2) * ID_STEP, limit=4)) == ["2015-01-03", "2015-01-04"]
+    assert days_read(archive.page_after(10, (3 * DAY + 2) * ID_STEP, limit=5)) == ["2015-01-04", "2015-01-05", "2015-01-06"]
+    assert days_read(archive.messages.channel(11, before=2 * DAY * ID_STEP)) == ["2015-01-01", "2015-01-02"]
+    page = archive.page_after(10, (3 * DAY + 2) * ID_STEP, limit=6).collect()
+    assert [r.id // ID_STEP for r in page] == [3 * DAY + 3, *(4 * DAY + k for k in range(4)), 5 * DAY]
+    assert archive.page_latest(12).collect() == [] and archive.page_before(10, 0).collect() == []
+    assert all("/summary/" in f for f in archive.messages.bounds().inputFiles())
+
+
 def test_reads_of_the_archive(archive, rows):
     records = [message(n, content=f"text {n}") for n in range(4)]
     archive.insert_messages(project_messages(rows(records)))
@@ -126,7 +188,7 @@ def test_reads_of_the_archive(archive, rows):
 
 def test_ids_have_small_bloom_filters(archive, rows):
     archive.insert_messages(project_messages(rows([message(n) for n in range(4)])))
-    path = next(Path(archive.messages.path).glob("created_date=*/part-*.parquet"))
+    path = files(archive)[0]
     found = duckdb.sql(f"select path_in_schema from parquet_metadata('{path}') where bloom_filter_offset is not null").fetchall()
     # The one author of these rows is in a dictionary, which readers use in the same way.
     assert found == [("id",)]
