@@ -15,6 +15,8 @@ rows count as often as they stand; ids may be null. No rows give no rows. Other
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +44,8 @@ class Letters:
     def __init__(self):
         low = [chr(c).lower() for c in range(PLANE)]
         self.lower = np.array([ord(x) if len(x) == 1 else c for c, x in enumerate(low)], np.uint32)
-        self.alpha = np.array([chr(c).isalpha() for c in range(PLANE)])
+        # By category (L) over all planes: tags, variation selectors and private use are no letters.
+        self.alpha = np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)])
         self.script = np.zeros(PLANE, np.uint8)
         for number, first, last in SCRIPTS:
             self.script[first : last + 1] = number
@@ -51,8 +54,7 @@ class Letters:
         """Trigram bins of all letters, the first letter of each word among them, the script of each word, and the words' bounds in the text."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         inside = np.minimum(points, PLANE - 1)
-        is_letter = self.alpha[inside] | (points >= PLANE)
-        at = np.flatnonzero(is_letter)
+        at = np.flatnonzero(self.alpha[points])
         if not len(at):
             return np.zeros(0, np.uint16), at, np.zeros(0, np.uint8), at, at
         new = np.ones(len(at), bool)

@@ -77,12 +77,15 @@ def mix_sources(
     own = [c for c in docs.columns if c not in ("pass", "slot", "n_tokens") and (keep is None or c in keep)]
     name = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("-")).alias("_name")
     text_hash = F.xxhash64(F.lit(key), F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("_hash")
-    rows = written(docs.select(*own, token_count(F.col(text_col)).alias("n_tokens"), name, text_hash), "counted").filter("n_tokens > 0")
+    # The caller's columns travel as one, so their names meet none of ours.
+    carried = F.struct(F.lit(0).alias("-"), *own).alias("_row")
+    rows = written(docs.select(carried, token_count(F.col(text_col)).alias("n_tokens"), name, text_hash), "counted").filter("n_tokens > 0")
+    back = [F.col("_row").getField(c).alias(c) for c in own]
     sources = rows.groupBy("_name").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     sources = written(sources, "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     if not total:
-        return rows.select(*own, "n_tokens", F.lit(0).cast("long").alias("pass"), F.lit(0).cast("long").alias("slot")).limit(0)
+        return rows.select(*back, "n_tokens", F.lit(0).cast("long").alias("pass"), F.lit(0).cast("long").alias("slot")).limit(0)
     sources = written(sources.withColumn("total", F.lit(total).cast("double")), "source-shares")
     a = exponent(sources, entropy, repeats)
     power = F.pow(F.col("tokens") / F.col("total"), F.lit(a))
@@ -100,4 +103,4 @@ def mix_sources(
     fits = F.col("_before") + F.col("n_tokens") / 2 <= (F.col("_rate") - whole) * F.col("_all")
     times = whole + F.when(fits, 1).otherwise(0)
     taken = dealt.filter(times > 0).withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
-    return taken.select(*own, "n_tokens", "pass", F.xxhash64("pass", "_hash").alias("slot"))
+    return taken.select(*back, "n_tokens", "pass", F.xxhash64("pass", "_hash").alias("slot"))

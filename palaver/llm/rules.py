@@ -134,5 +134,6 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    stats = statistics(docs.withColumn("_row", F.lit(None)), "_row", text_col, tuple(docs.columns))
-    return judged(written(stats, "statistics"), threshold).filter("kept").select("carried.*")
+    whole = docs.select(F.struct(*docs.columns).alias("carried"), F.lit(None).alias("id"), F.col(text_col).alias("text"))
+    stats = statistics(whole, "id", "text", ("carried",))
+    return judged(written(stats, "statistics"), threshold).filter("kept").select("carried.carried.*")

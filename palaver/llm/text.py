@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 WORD = np.uint64
 STEP = 0x9E3779B97F4A7C15
 #: Words hashed at once, so that a very long text needs no more memory than its bytes and this.
 CHUNK_WORDS = 1 << 16
+#: Words whose numbers a task keeps at hand.
+KNOWN_WORDS = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,32 +45,42 @@ def bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(raw)]))
 
 
+class Tokens(dict):
+    """The number of a word: 64 bits of its BLAKE2 digest, so that no two words are made to meet."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = number = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return number
+
+
 class Roller:
     """Rabin-Karp hashes modulo 2^64 of every window of k words.
 
-    A byte has a random value and a position a power of an odd base; prefix sums give the hash of any
-    span, and the inverse power moves it to position 0. Equal word sequences have equal hashes wherever
-    they stand; the result is spread over all bits.
+    A word is a number (``Tokens``), mixed with the seed, and a position a power of an odd base; prefix sums give the hash of any
+    window, and the inverse power moves it to position 0. Equal word sequences have equal hashes wherever they stand; the result
+    is spread over all bits.
     """
 
     def __init__(self, seed: int):
-        self.values = mix(np.arange(256, dtype=WORD) + WORD((seed * STEP) % 2**64))
-        self.base = int(self.values[0]) // 8 * 8 + 5
-        self.powers = self.inverses = np.ones(1, WORD)
+        self.offset = (seed * STEP) % 2**64
+        self.base = int(mix(np.array([self.offset], WORD))[0]) // 8 * 8 + 5
+        self._start()
+
+    def _start(self) -> None:
+        self.tokens = Tokens()
+        powers = np.full(CHUNK_WORDS + 1, self.base, WORD)
+        inverses = np.full(CHUNK_WORDS + 1, pow(self.base, -1, 2**64), WORD)
+        powers[0] = inverses[0] = 1
+        self.powers, self.inverses = np.cumprod(powers, dtype=WORD), np.cumprod(inverses, dtype=WORD)
 
     def __getstate__(self):
-        return {"values": self.values, "base": self.base}
+        return {"offset": self.offset, "base": self.base}
 
     def __setstate__(self, state):
-        self.__dict__.update(state, powers=np.ones(1, WORD), inverses=np.ones(1, WORD))
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, 2 * len(self.powers), 1 << 14)
-            for name, base in (("powers", self.base), ("inverses", pow(self.base, -1, 2**64))):
-                steps = np.full(n, base, WORD)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=WORD))
+        self.__dict__.update(state)
+        self._start()
 
     def windows(self, raw: bytes, k: int) -> np.ndarray:
         """A hash for each start of k consecutive words; none if there are fewer words."""
@@ -74,17 +88,14 @@ class Roller:
         n = len(starts) - k + 1
         if n <= 0:
             return np.zeros(0, WORD)
-        data = np.frombuffer(raw, np.uint8)
-        parts = []
-        for at in range(0, n, CHUNK_WORDS):
-            to = min(n, at + CHUNK_WORDS)
-            low, high = starts[at], ends[to + k - 2]
-            self._grow(high - low + 1)
-            prefix = np.zeros(high - low + 1, WORD)
-            np.cumsum(self.values[data[low:high]] * self.powers[: high - low], out=prefix[1:])
-            first = starts[at:to] - low
-            spans = prefix[ends[at + k - 1 : to + k - 1] - low] - prefix[first]
-            parts.append(mix(spans * self.inverses[first]))
+        parts, step = [], max(1, CHUNK_WORDS - k + 1)
+        for at in range(0, n, step):
+            size = min(n - at, step) + k - 1
+            words = raw[starts[at] : ends[at + size - 1]].split(b" ")
+            numbers = np.fromiter(map(self.tokens.__getitem__, words), WORD, size)
+            prefix = np.zeros(size + 1, WORD)
+            np.cumsum(mix(numbers + WORD(self.offset)) * self.powers[:size], out=prefix[1:])
+            parts.append(mix((prefix[k:] - prefix[:-k]) * self.inverses[: size - k + 1]))
         return np.concatenate(parts)
 
     def sequence(self, raw: bytes, k: int) -> np.ndarray:
