@@ -19,6 +19,7 @@ def main() -> None:
     parser.add_argument("--poll-interval-secs", type=int, default=300)
     parser.add_argument("--once", action="store_true", help="stop after what has landed so far")
     parser.add_argument("--polled-pass", type=int, metavar="ID", help="one full pass over the landed files")
+    parser.add_argument("--polled", action="store_true", help="take messages as polled: repeat passes over what has landed since")
     parser.add_argument("--input-bytes", type=int, default=0, help="bytes shuffled at once, for sizing")
     args = parser.parse_args()
 
@@ -26,7 +27,9 @@ def main() -> None:
     spark = configure(SparkSession.builder.appName("palaver"), args.input_bytes).getOrCreate()
     config = ArchiveConfig(args.landing, args.root, args.poll_interval_secs)
     archiver = Archiver(spark, config)
-    if args.once:
+    if args.polled:
+        archiver.run_polled_once() if args.once else archiver.poll_forever()
+    elif args.once:
         archiver.run_once()
     elif args.polled_pass is not None:
         archiver.run_polled(args.polled_pass)

@@ -7,8 +7,11 @@ One writer per archive: Parquet has no unique key, so both feeds land in one pla
 from __future__ import annotations
 
 import logging
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,22 +21,20 @@ from palaver.messages import MessageTable
 from palaver.operators import access, paging
 from palaver.operators.dedup import last_wins
 from palaver.plans.sync import run_pass
-from palaver.schemas import CHANNELS, GUILDS, PROGRESS, QUARANTINE, USERS
+from palaver.schemas import CHANNELS, GUILDS, HELD, PROGRESS, QUARANTINE, USERS
 from palaver.sources.landed import ANY_AGE, MAX_BYTES_PER_TRIGGER, ensure_folder, read_lines
-from palaver.storage import no_rows, read_if_there
-from palaver.streaming.live import FEEDS, start_feed
+from palaver.storage import newest_generation, no_rows, read_if_there, remove_folder, subfolders
+from palaver.streaming.live import FEEDS, POLLED_FEEDS, release_held, start_feed
 
 log = logging.getLogger(__name__)
 
-GENERATION = StructType().add("generation", "long")
-
-
 class KeyedTable:
     """Last-write-wins table: a snapshot plus appended changes, merged by ``arrival_seq`` on read.
 
     A write costs as much as its batch, not as the table. Appending a batch again is harmless, as
     equal rows merge into one. ``compact`` folds the changes into the next snapshot; a generation
-    counts only once its number is logged, so a broken compaction leaves the old one in force.
+    counts only once its snapshot is complete, so a broken compaction leaves the old one in force. The generation
+    before stays for readers that have begun with it; older ones are removed.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
@@ -47,8 +48,7 @@ class KeyedTable:
             self._start(0, no_rows(self.spark, self.schema))
 
     def generation(self) -> int | None:
-        log = read_if_there(self.spark, f"{self.path}/generations", "json", GENERATION)
-        return log.agg(F.max("generation")).first()[0]
+        return newest_generation(self.spark, f"{self.path}/snapshots")
 
     def read(self) -> DataFrame:
         generation = self.generation()
@@ -65,13 +65,15 @@ class KeyedTable:
     def compact(self) -> None:
         generation = self.generation()
         self._start(generation + 1, self.read())
+        for folder in ("snapshots", "changes"):
+            for name in subfolders(self.spark, f"{self.path}/{folder}"):
+                if int(name.partition("=")[2]) < generation:
+                    remove_folder(self.spark, f"{self.path}/{folder}/{name}")
 
     def _start(self, generation: int, snapshot: DataFrame) -> None:
-        snapshot.write.mode("overwrite").parquet(f"{self.path}/snapshots/generation={generation}")
         no_changes = no_rows(self.spark, self.schema)
         no_changes.write.mode("overwrite").parquet(f"{self.path}/changes/generation={generation}")
-        log = self.spark.range(1).select(F.lit(generation).cast("long").alias("generation"))
-        log.coalesce(1).write.mode("append").json(f"{self.path}/generations")
+        snapshot.write.mode("overwrite").parquet(f"{self.path}/snapshots/generation={generation}")
 
     def _snapshot(self, generation: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(
@@ -94,10 +96,12 @@ class Archive:
         self.channels = KeyedTable(spark, f"{self.root}/channels", CHANNELS)
         self.users = KeyedTable(spark, f"{self.root}/users", USERS)
         self.messages = MessageTable(spark, f"{self.root}/messages")
+        #: Channels that carry no messages: those of polled messages are passed over, those of unknown channels wait.
+        self.other_channels = KeyedTable(spark, f"{self.root}/other_channels", CHANNELS)
 
     def bootstrap(self) -> Archive:
         """Create what is absent; existing tables stay as they are."""
-        for table in (self.guilds, self.channels, self.users, self.messages):
+        for table in (self.guilds, self.channels, self.users, self.messages, self.other_channels):
             table.create()
         return self
 
@@ -111,14 +115,33 @@ class Archive:
         self.users.read().createOrReplaceTempView("users")
         self.messages.read().createOrReplaceTempView("messages")
 
-    def progress(self) -> DataFrame:
+    def progress(self, feed: str = "messages") -> DataFrame:
         """Messages processed per batch and channel; ``processed`` counts known ones again."""
-        return read_if_there(self.spark, f"{self.root}/progress", "parquet", PROGRESS)
+        return read_if_there(self.spark, self._progress(feed), "parquet", PROGRESS)
 
-    def write_progress(self, batch_id: int, processed: DataFrame) -> None:
+    def write_progress(self, batch_id: int, processed: DataFrame, feed: str = "messages") -> None:
         """A replayed batch replaces its own counts."""
-        target = f"{self.root}/progress/batch_id={batch_id}"
-        processed.write.mode("overwrite").parquet(target)
+        processed.write.mode("overwrite").parquet(f"{self._progress(feed)}/batch_id={batch_id}")
+
+    def _progress(self, feed: str) -> str:
+        return f"{self.root}/progress" if feed == "messages" else f"{self.root}/progress_{feed}"
+
+    def held(self, batch_id: int) -> DataFrame:
+        """Polled lines that waited for their channel after a batch, as the readers deliver lines."""
+        rows = read_if_there(self.spark, f"{self.root}/held/batch_id={batch_id}", "parquet", HELD)
+        return rows.select(F.col("raw_json").alias("value"), "source_file")
+
+    def last_held(self) -> DataFrame | None:
+        """What waits after the last batch."""
+        batches = [int(name.partition("=")[2]) for name in subfolders(self.spark, f"{self.root}/held")]
+        return self.held(max(batches)) if batches else None
+
+    def write_held(self, batch_id: int, rows: DataFrame) -> None:
+        """What waits after a batch; what waited before the last one is no longer needed."""
+        rows.select(*HELD.fieldNames()).write.mode("overwrite").parquet(f"{self.root}/held/batch_id={batch_id}")
+        for old in subfolders(self.spark, f"{self.root}/held"):
+            if int(old.partition("=")[2]) < batch_id - 1:
+                remove_folder(self.spark, f"{self.root}/held/{old}")
 
     def quarantine(self, feed: str) -> DataFrame:
         """Rejected lines of a feed with the reason."""
@@ -212,10 +235,25 @@ class Archiver:
             start_feed(self.archive, self.config, feed, once=True).awaitTermination()
 
     def run_polled(self, pass_id: int = 0) -> None:
-        """A full pass over the landed files: messages of the channels walked, with the guild of the walk."""
+        """A full pass over all landed files: messages of the channels walked, with the guild of the walk."""
         lines = [read_lines(self.spark, f"{self.config.landing.rstrip('/')}/{feed}") for feed in FEEDS]
         run_pass(self.archive, *lines, pass_id=pass_id)
 
+    def run_polled_once(self) -> None:
+        """The same over the files that landed since the last time. Messages that landed before their channel wait for it."""
+        for feed in POLLED_FEEDS:
+            start_feed(self.archive, self.config, feed, once=True).awaitTermination()
+        release_held(self.archive)
+
+    def poll_forever(self, stopped: Callable[[], bool] = lambda: False) -> None:
+        """An incremental pass at each poll interval; one that fails is logged and what it lacked is taken by the next."""
+        while not stopped():
+            try:
+                self.run_polled_once()
+            except StreamingQueryException:
+                log.exception("a polled pass failed")
+            time.sleep(self.config.poll_interval_secs)
+
     def run_forever(self) -> list[StreamingQuery]:
         """Start one query per feed that looks for new files at the poll interval."""
         return [start_feed(self.archive, self.config, feed, once=False) for feed in FEEDS]

@@ -53,9 +53,10 @@ class Version:
 class MessageTable:
     """One writer; readers may come at any time. Files are sorted by ``channel_id, id``."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, fan_in: int = FAN_IN):
         self.spark = spark
         self.path = path
+        self.fan_in = fan_in
         self.layout = StructType([*MESSAGES.fields]).add("version", "long").add("created_date", DateType())
         self.log = GenerationLog(spark, f"{path}/manifest")
 
@@ -205,19 +206,23 @@ class MessageTable:
         found = self._summarised(number)
         if found:
             self._commit([(number, day, 0, None, n) for day, n in found])
-            self.compact()
+            for day, n in found:
+                live.setdefault(day, []).append(Version(number, 0, n))
+            self.compact(live)
 
-    def compact(self) -> None:
+    def compact(self, live: dict | None = None) -> None:
         """Bring versions of days that have many of one level together, until none has."""
+        live = self.days() if live is None else live
         while True:
-            live = self.days()
-            runs = {day: run for day, versions in live.items() if len(run := _last_level(versions)) >= FAN_IN}
+            runs = {day: run for day, versions in live.items() if len(run := _last_level(versions)) >= self.fan_in}
             if not runs:
                 return
             number = self._next(live)
             self._write(self._rows(runs).drop("version", "created_date"), number)
             counts = dict(self._summarised(number))
             self._commit([(number, day, run[0].level + 1, run[0].number, counts[day]) for day, run in runs.items()])
+            for day, run in runs.items():
+                live[day] = [*live[day][: -len(run)], Version(number, run[0].level + 1, counts[day])]
 
     def vacuum(self) -> int:
         """Remove the days of versions that no manifest row names, and say how many. Plans that readers made before the last

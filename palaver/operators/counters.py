@@ -11,6 +11,7 @@ from palaver.operators.bounds import channel_bounds
 from palaver.operators.filters import is_human
 from palaver.operators.joins import lookup_join
 from palaver.operators.paging import MESSAGE_PAGE
+from palaver.session import scratch_dir
 
 
 # SQL over a row placed between the bounds of its channel.
@@ -39,12 +40,17 @@ def processed_counts(source: DataFrame, archive: DataFrame) -> DataFrame:
 def page_counts(source: DataFrame, archive: DataFrame, page: int = MESSAGE_PAGE) -> DataFrame:
     """Per channel: non-empty pages each phase reads. Pages hold bot rows too.
 
-    Backfill fills an empty channel first, so its catch-up starts at the newest human row of the source.
+    Backfill fills an empty channel first, so its catch-up starts at the newest human row of the source. The source, which is
+    needed twice, is read once: its three columns are written to the shared scratch folder.
     """
-    newest = source.where("is_human").groupBy("channel_id").agg(F.max("id").alias("newest"))
+    path = scratch_dir(source.sparkSession, "flagged")
+    flagged = source.select("id", "channel_id", "is_human")
+    flagged.write.parquet(path)
+    flagged = source.sparkSession.read.schema(flagged.schema).parquet(path)
+    newest = flagged.where("is_human").groupBy("channel_id").agg(F.max("id").alias("newest"))
     stored = channel_bounds(archive)
     bounds = stored.join(newest, "channel_id", "full").select("channel_id", "lo", F.coalesce("hi", "newest").alias("hi"))
-    rows = lookup_join(source, bounds, "channel_id", "id")
+    rows = lookup_join(flagged, bounds, "channel_id", "id")
     counts = rows.groupBy("channel_id").agg(
         F.count(F.lit(1)).alias("source_rows"),
         F.count_if(F.expr(BELOW)).alias("backfill_rows"),
@@ -67,19 +73,21 @@ def channel_counts(channels: DataFrame) -> DataFrame:
     )
 
 
-def guild_counts(guilds: DataFrame, rejected_channels: DataFrame) -> DataFrame:
-    """Guilds listed, and those whose own record and whole channel list could be used.
+def guild_counts(guilds: DataFrame, channels: DataFrame) -> DataFrame:
+    """Guilds listed, and those whose own record and channel list could be used.
 
-    ``guilds`` holds usable records; ``rejected_channels`` the quarantined channel records, which
-    make the pass over their guild fail.
+    ``guilds`` holds usable records; ``channels`` the parsed channel records with their ``reject_reason``. A bad channel
+    is passed over; a list of which nothing could be used makes the pass over its guild fail.
     """
-    listed = guilds.select("id").distinct()
-    failed = rejected_channels.select(
-        F.col("guild_id").try_cast("bigint").alias("id"), F.lit(True).alias("failed")
-    ).distinct()
+    listed = guilds.select(F.col("id").try_cast("bigint").alias("id")).distinct()
+    failed = (
+        channels.groupBy(F.col("guild_id").try_cast("bigint").alias("id"))
+        .agg(F.count_if(F.col("reject_reason").isNull()).alias("usable"))
+        .where("usable = 0")
+    )
     return listed.join(failed, "id", "left").agg(
         F.count(F.lit(1)).alias("guilds_listed"),
-        F.count_if(F.col("failed").isNull()).alias("guilds_processed"),
+        F.count_if(F.col("usable").isNull()).alias("guilds_processed"),
     )
 
 

@@ -19,6 +19,15 @@ def human_authors(landed: DataFrame) -> DataFrame:
     return landed.where(is_human())
 
 
+def _bears_messages() -> Column:
+    return F.coalesce(kind_name(F.col("kind"), CHANNEL_KINDS).isin(*MESSAGE_BEARING_KINDS), F.lit(False))
+
+
 def message_bearing(channels: DataFrame) -> DataFrame:
     """Channels that can hold messages; others are not stored."""
-    return channels.where(kind_name(F.col("kind"), CHANNEL_KINDS).isin(*MESSAGE_BEARING_KINDS))
+    return channels.where(_bears_messages())
+
+
+def not_message_bearing(channels: DataFrame) -> DataFrame:
+    """The others."""
+    return channels.where(~_bears_messages())

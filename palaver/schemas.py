@@ -133,6 +133,9 @@ MESSAGES = _struct(
 # Written per micro-batch.
 PROGRESS = _struct(channel_id="long", processed="long", batch_id="long")
 
+# Polled lines whose channel isn't known yet.
+HELD = _struct(raw_json="string", source_file="string")
+
 # Versions of the days of the messages table, and digests of the ids of a channel and day.
 DAY_VERSIONS = _struct("version created_date level n", version="long", created_date="date", level="integer", replaces_from="long", n="long")
 

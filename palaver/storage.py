@@ -51,6 +51,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def newest_generation(spark: SparkSession, snapshots: str) -> int | None:
+    """The highest ``generation=<n>`` of a folder of snapshots that was written to its end."""
+    numbers = sorted((int(name.partition("=")[2]) for name in subfolders(spark, snapshots)), reverse=True)
+    return next((n for n in numbers if is_there(spark, f"{snapshots}/generation={n}/_SUCCESS")), None)
+
+
 class GenerationLog:
     """A small table of JSON rows as a snapshot and appended changes; folding makes the next generation.
 
@@ -69,9 +75,7 @@ class GenerationLog:
         return f"{self.path}/changes/generation={generation}"
 
     def generation(self) -> int | None:
-        names = subfolders(self.spark, f"{self.path}/snapshots")
-        numbers = sorted((int(name.partition("=")[2]) for name in names), reverse=True)
-        return next((n for n in numbers if is_there(self.spark, f"{self.snapshot(n)}/_SUCCESS")), None)
+        return newest_generation(self.spark, f"{self.path}/snapshots")
 
     def start(self, generation: int, rows: DataFrame) -> None:
         rows.limit(0).write.mode("overwrite").json(self.changes(generation))

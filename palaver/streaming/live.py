@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from palaver.functions.scalars import signed_id
 from palaver.operators.dedup import last_wins
-from palaver.operators.filters import human_authors, message_bearing
+from palaver.operators.filters import human_authors, message_bearing, not_message_bearing
+from palaver.operators.joins import lookup_join
 from palaver.operators.projections import (
     USER_ORDER,
     project_channels,
@@ -24,6 +26,7 @@ from palaver.operators.projections import (
     project_messages,
     project_users,
 )
+from palaver.plans.sync import users_met, with_walk_guild
 from palaver.sources.landed import (
     parse_channels,
     parse_guilds,
@@ -54,7 +57,9 @@ def channel_batch(archive: Archive) -> Batch:
     def apply(lines: DataFrame, batch_id: int) -> None:
         parsed = parse_channels(lines)
         archive.write_quarantine("channels", batch_id, rejected(parsed))
-        archive.upsert_channels(project_channels(message_bearing(usable(parsed))))
+        channels = usable(parsed)
+        archive.upsert_channels(project_channels(message_bearing(channels)))
+        archive.other_channels.append(project_channels(not_message_bearing(channels)))
 
     return apply
 
@@ -80,6 +85,60 @@ def message_batch(archive: Archive) -> Batch:
     return apply
 
 
+def _walk(archive: Archive) -> DataFrame:
+    """``channel_id, walk_guild_id`` of the channels that a polled pass goes through: those whose newest record carries messages."""
+    channels = archive.channels.read().select(F.col("id").alias("channel_id"), F.col("guild_id").alias("walk_guild_id"), "arrival_seq")
+    others = archive.other_channels.read().select(F.col("id").alias("channel_id"), F.col("arrival_seq").alias("other_seq"))
+    newest = channels.join(others, "channel_id", "left").where("other_seq is null or other_seq < arrival_seq")
+    return newest.select("channel_id", "walk_guild_id")
+
+
+def _take_polled(archive: Archive, messages: DataFrame, walk: DataFrame) -> DataFrame:
+    """Store the authors and messages of the walk; the messages processed per channel."""
+    walk_rows = walk.count()
+    rows = with_walk_guild(project_messages(human_authors(messages)), walk, walk_rows)
+    archive.upsert_users(users_met(messages, walk, walk_rows))
+    archive.insert_messages(rows)
+    return rows.groupBy("channel_id").agg(F.count(F.lit(1)).alias("processed"))
+
+
+def polled_batch(archive: Archive) -> Batch:
+    """A polled pass over new lines: the walk is the table of channels, and the guild of a message is that of its channel there.
+
+    Messages of channels that carry none are passed over. Those of channels not known yet are held, and each batch takes
+    up what the one before has held, so the order in which records land does not matter.
+    """
+
+    def apply(lines: DataFrame, batch_id: int) -> None:
+        parsed = parse_messages(lines.unionByName(archive.held(batch_id - 1))).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            archive.write_quarantine("polled", batch_id, rejected(parsed))
+            walk = _walk(archive)
+            others = archive.other_channels.read().select(F.col("id").alias("channel_id"))
+            known = archive.channels.read().select(F.col("id").alias("channel_id")).unionByName(others).distinct()
+            waiting = parsed.where("reject_reason is null").withColumn("channel_id", signed_id(F.col("channel_id")))
+            archive.write_held(batch_id, lookup_join(human_authors(waiting), known, "channel_id", "id", "left_anti", known.count()))
+            archive.write_progress(batch_id, _take_polled(archive, usable(parsed), walk), "polled")
+        finally:
+            parsed.unpersist()
+
+    return apply
+
+
+def release_held(archive: Archive) -> None:
+    """Store held messages whose channel has come since, also where no new message starts a batch.
+
+    They stay held until the next batch, which finds them stored.
+    """
+    lines = archive.last_held()
+    if lines is None:
+        return
+    walk = _walk(archive)
+    messages = usable(parse_messages(lines)).withColumn("channel_id", signed_id(F.col("channel_id")))
+    if not lookup_join(messages, walk.select("channel_id"), "channel_id", "id", "left_semi", walk.count()).isEmpty():
+        _take_polled(archive, messages.withColumn("channel_id", F.col("channel_id").cast("string")), walk)
+
+
 # In the order a pass takes them.
 FEEDS: dict[str, Callable[[Archive], Batch]] = {
     "guilds": guild_batch,
@@ -88,15 +147,23 @@ FEEDS: dict[str, Callable[[Archive], Batch]] = {
 }
 
 
+POLLED_FEEDS: dict[str, Callable[[Archive], Batch]] = {
+    "guilds": guild_batch,
+    "channels": channel_batch,
+    "polled": polled_batch,
+}
+
+
 def compacting(archive: Archive, feed: str, every: int) -> Batch:
-    """The batch function of a feed, with a compaction of its keyed table every so many batches."""
-    apply = FEEDS[feed](archive)
-    table = {"guilds": archive.guilds, "channels": archive.channels, "messages": archive.users}[feed]
+    """The batch function of a feed, with a compaction of its keyed tables every so many batches."""
+    apply = (FEEDS | POLLED_FEEDS)[feed](archive)
+    tables = {"guilds": [archive.guilds], "channels": [archive.channels, archive.other_channels]}.get(feed, [archive.users])
 
     def apply_and_compact(lines: DataFrame, batch_id: int) -> None:
         apply(lines, batch_id)
         if (batch_id + 1) % every == 0:
-            table.compact()
+            for table in tables:
+                table.compact()
 
     return apply_and_compact
 
@@ -105,7 +172,7 @@ def start_feed(archive: Archive, config: ArchiveConfig, feed: str, once: bool) -
     """Start the query of one feed: up to what has landed, or at each poll interval."""
     lines = stream_lines(
         archive.spark,
-        f"{config.landing.rstrip('/')}/{feed}",
+        f"{config.landing.rstrip('/')}/{'messages' if feed == 'polled' else feed}",
         config.max_bytes_per_trigger,
         config.max_files_per_trigger,
         config.max_file_age,

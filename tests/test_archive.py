@@ -73,17 +73,14 @@ def test_a_half_written_batch_is_not_seen_and_completed_by_its_replay(archive, r
 
 def test_days_have_few_files_after_many_batches(archive, rows, monkeypatch):
     """50 batches of two days; a compaction that breaks off leaves what was there."""
-    monkeypatch.setattr(messages, "FAN_IN", 4)
+    archive.messages.fan_in = 4
     monkeypatch.setattr(messages, "COMMITS_PER_GENERATION", 9)
     for n in range(50):
         batch = project_messages(rows([message(2 * n), message(2 * n + 1), message(DAY + n)]))
         if n == 31:
             with monkeypatch.context() as broken:
-                broken.setattr(archive.messages, "compact", lambda: None)
+                broken.setattr(archive.messages, "compact", lambda live: None)
                 archive.insert_messages(batch)
-                broken.undo()
-                monkeypatch.setattr(messages, "FAN_IN", 4)
-                monkeypatch.setattr(messages, "COMMITS_PER_GENERATION", 9)
             with monkeypatch.context() as broken:
                 broken.setattr(archive.messages, "_commit", lambda _: 1 / 0)
                 with pytest.raises(ZeroDivisionError):

@@ -104,6 +104,15 @@ class Inputs:
         archive.messages.append(self.archive())
         return archive
 
+    def compacted(self) -> Archive:
+        """All messages, stored in three batches with days compacted along the way."""
+        archive = Archive(self.spark, scratch_dir(self.spark, "archive")).bootstrap()
+        archive.messages.fan_in = 2
+        rows = self.all_messages().withColumn("arrival_seq", F.lit(0).cast("bigint"))
+        for batch in range(3):
+            archive.insert_messages(rows.where(F.pmod(F.xxhash64("id"), F.lit(3)) <= batch))
+        return archive
+
     def streamed(self, seeded: bool) -> Archive:
         """The message feed in two waves, each a run that continues from the checkpoint."""
         root = scratch_dir(self.spark, "archive")

@@ -197,7 +197,7 @@ QUERIES: dict[str, str] = {
         count(*) filter (where kind in {BEARING}) as message_bearing
       from (select * from channel_rows {LAST}) x group by guild_id""",
     "guild_counts": f"""select count(*) as guilds_listed, count(*) filter (where id not in (
-        select guild_id from channel_lines where not ({GOOD_CHANNEL}))) as guilds_processed
+        select guild_id from channel_lines group by guild_id having not bool_or({GOOD_CHANNEL}))) as guilds_processed
       from (select distinct id from guild_wire) g""",
     "backfill_rows": f"""select {ROW} from human_source left join bounds using (channel_id)
       where lo is null or id < lo""",
@@ -220,6 +220,22 @@ QUERIES: dict[str, str] = {
       union all select {MESSAGE_COLUMNS} from (
         select * replace (walk_guild_id as guild_id) from human_rows join walk using (channel_id)
         where id not in (select id from archive) {FIRST}) fresh""",
+    "polled_passes": f"""select {MESSAGE_COLUMNS} from archive
+      union all select {MESSAGE_COLUMNS} from (
+        select * replace (walk_guild_id as guild_id) from human_rows join walk using (channel_id)
+        where {GOOD} and id not in (select id from archive) {FIRST}) fresh""",
+    "stored_messages": f"select {MESSAGE_COLUMNS} from all_messages",
+    "stored_bounds": "select channel_id, min(id) as lo, max(id) as hi, count(*) as n from all_messages group by channel_id",
+    "stored_page_latest": f"""select id, channel_id, author_id, content from all_messages
+      where channel_id = {PAGED_CHANNEL} order by id desc limit 100""",
+    "stored_page_before": f"""select id, channel_id, author_id, content from all_messages
+      where channel_id = {PAGED_CHANNEL}
+        and id < (select max(id) from all_messages where channel_id = {PAGED_CHANNEL}) order by id desc limit 100""",
+    "stored_page_after": f"""select id, channel_id, author_id, content from all_messages
+      where channel_id = {PAGED_CHANNEL}
+        and id > (select min(id) from all_messages where channel_id = {PAGED_CHANNEL}) order by id limit 100""",
+    "stored_missing": f"""select {ROW.replace("content", "nullif(content, '') as content")} from human_source
+      where not exists (select 1 from archive a where a.id = human_source.id)""",
     "channel_timeline": """select channel_id, created_at_ms, id, author_id, content from all_messages
       order by channel_id, created_at_ms, id""",
     "author_history": """select author_id, created_at_ms, id, channel_id, content from all_messages
@@ -239,6 +255,9 @@ QUERIES: dict[str, str] = {
       where contains(content, '{SPOKEN_TEXT}')""",
 }
 
+for _table in ("guilds", "channels", "users", "messages"):
+    QUERIES[f"written_pass_{_table}"] = QUERIES[f"sync_pass_{_table}"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: duckdb_views() + STEPS + sql for name, sql in QUERIES.items()}

@@ -372,7 +372,7 @@ def channel_counts(given: Inputs) -> DataFrame:
 def guild_counts(given: Inputs) -> DataFrame:
     guilds = usable(parse_guilds(given.lines("guild_wire", "raw_json")))
     channels = parse_channels(given.lines("channel_lines", "line"))
-    return counters.guild_counts(guilds, channels.where("reject_reason is not null"))
+    return counters.guild_counts(guilds, channels)
 
 
 # History
@@ -440,6 +440,93 @@ def incremental_pass(given: Inputs) -> DataFrame:
     return archiver.archive.messages.read().select(*MESSAGES.fieldNames())
 
 
+@query("polled_passes")
+def polled_passes(given: Inputs) -> DataFrame:
+    """Incremental polled passes: half of the messages land before any channel, the rest and redeliveries after all."""
+    root = scratch_dir(given.spark, "archive")
+    archiver = Archiver(given.spark, ArchiveConfig(landing=f"{root}/landing", root=f"{root}/tables"))
+    archiver.archive.messages.append(given.archive())
+    lines = given.view("dirty", "line, arrival_seq")
+    early = F.pmod(F.col("arrival_seq"), F.lit(2)) == 0
+    first = F.col("arrival_seq") < REDELIVERED_FROM
+    given.land(lines.where(first & early).select("line"), f"{root}/landing/messages")
+    archiver.run_polled_once()
+    given.land(given.view("channel_wire", "raw_json"), f"{root}/landing/channels")
+    given.land(lines.where(first & ~early).select("line"), f"{root}/landing/messages")
+    archiver.run_polled_once()
+    given.land(lines.where(~first).select("line"), f"{root}/landing/messages")
+    archiver.run_polled_once()
+    return archiver.archive.messages.read().select(*MESSAGES.fieldNames())
+
+
+def _passed(given: Inputs) -> Archive:
+    """Seeded tables after a full polled pass that was written."""
+    archive = given.seed(Archive(given.spark, scratch_dir(given.spark, "archive")).bootstrap())
+    lines = [given.lines(view, "raw_json") for view in ("guild_wire", "channel_wire", "wire")]
+    sync.run_pass(archive, *lines)
+    return archive
+
+
+@query("written_pass_guilds")
+def written_pass_guilds(given: Inputs) -> DataFrame:
+    return _passed(given).guilds.read()
+
+
+@query("written_pass_channels")
+def written_pass_channels(given: Inputs) -> DataFrame:
+    return _passed(given).channels.read()
+
+
+@query("written_pass_users")
+def written_pass_users(given: Inputs) -> DataFrame:
+    return _passed(given).users.read()
+
+
+@query("written_pass_messages")
+def written_pass_messages(given: Inputs) -> DataFrame:
+    return _passed(given).messages.read()
+
+
+# The messages table after several batches and compactions
+
+
+@query("stored_messages")
+def stored_messages(given: Inputs) -> DataFrame:
+    return given.compacted().messages.read()
+
+
+@query("stored_bounds")
+def stored_bounds(given: Inputs) -> DataFrame:
+    return given.compacted().messages.bounds()
+
+
+@query("stored_page_latest")
+def stored_page_latest(given: Inputs) -> DataFrame:
+    return given.compacted().page_latest(PAGED_CHANNEL).select("id", "channel_id", "author_id", "content")
+
+
+@query("stored_page_before")
+def stored_page_before(given: Inputs) -> DataFrame:
+    archive = given.compacted()
+    cursor = archive.max_message_id_in_channel(PAGED_CHANNEL)
+    return archive.page_before(PAGED_CHANNEL, cursor).select("id", "channel_id", "author_id", "content")
+
+
+@query("stored_page_after")
+def stored_page_after(given: Inputs) -> DataFrame:
+    archive = given.compacted()
+    cursor = archive.min_message_id_in_channel(PAGED_CHANNEL)
+    return archive.page_after(PAGED_CHANNEL, cursor).select("id", "channel_id", "author_id", "content")
+
+
+@query("stored_missing")
+def stored_missing(given: Inputs) -> DataFrame:
+    """What the written table lacks of the source, by digests of channel days."""
+    archive = given.seed(Archive(given.spark, scratch_dir(given.spark, "archive")).bootstrap())
+    absent = archive.messages.absent_by_digest(project_messages(human_authors(given.messages())))
+    return absent.select("id", "channel_id", "author_id", "content", "arrival_seq")
+
+
 @query("live_messages")
 def live_messages(given: Inputs) -> DataFrame:
     return given.streamed(seeded=False).messages.read()
