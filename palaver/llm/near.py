@@ -15,7 +15,7 @@ distance is a metric), or their sketches agree in fewer coordinates than five st
 
 Defined cases: null or empty text has an empty set, which is linked with nothing; fewer words than a
 shingle make one shingle; rows with a null id are never linked and have a null component; rows that share an id are
-one node. No rows give no rows. Other columns are ignored.
+one node, linked with what any of their texts is linked with. No rows give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,13 +66,13 @@ def _sketches(words: int):
         roller = Roller(3)
         for batch in batches:
             rows = []
-            for i, text in zip(batch.column(0), batch.column(1), strict=True):
+            for i, text, text_key in zip(*(batch.column(k) for k in range(3)), strict=True):
                 s = shingles(normalised(text.as_py()), words, roller)
                 key = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                rows.append((i.as_py(), len(s), key, sketch(s).tobytes() if len(s) else None))
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "n_shingles", "set_key", "sketch"])
+                rows.append((i.as_py(), text_key.as_py(), len(s), key, sketch(s).tobytes() if len(s) else None))
+            columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["id", "text_key", "n_shingles", "set_key", "sketch"])
 
     return run
 
@@ -188,13 +188,48 @@ def _bands(sketches: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id that links lead to) and kept (whether that is the id itself)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketched = written(docs.mapInArrow(_sketches(words), "id long, n_shingles long, set_key binary, sketch binary"), "sketches")
+    keyed = docs.select("id", "text", F.xxhash64("text").alias("text_key"))
+    sketched = written(keyed.mapInArrow(_sketches(words), "id long, text_key long, n_shingles long, set_key binary, sketch binary"), "sketches")
+    several = sketched.filter("id is not null").groupBy("id").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).filter("lo < hi").select("id")
+    several = written(several, "repeated-ids")
+    if several.isEmpty():
+        out = _grouped(docs, sketched, None, words, percent)
+    else:
+        out = _by_text(keyed, sketched, several, words, percent)
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _by_text(docs: DataFrame, sketched: DataFrame, several: DataFrame, words: int, percent: int) -> DataFrame:
+    """The same where ids have several texts: each text of such an id is a node, and the nodes of an id are linked."""
+    marked = maybe_broadcast(several.withColumn("many", F.lit(True)))
+    seed = 0
+    while True:  # until no new node has the number of an id
+        node = F.when(F.col("many"), F.xxhash64(F.lit(seed), "id", "text_key")).otherwise(F.col("id")).alias("node")
+        nodes = written(sketched.join(marked, "id", "left").select("*", node), "nodes")
+        made = nodes.filter("many").select("id", "node", "text_key").distinct()
+        double = made.groupBy("node").count().filter("count > 1").select("node")
+        if double.isEmpty() and made.join(sketched.select(F.col("id").alias("node")), "node", "left_semi").isEmpty():
+            break
+        seed += 1
+    texts = docs.join(marked, "id", "left").select(node.alias("id"), "text")
+    first = made.groupBy("id").agg(F.min("node").alias("a"))
+    same = written(made.join(first, "id").select("a", F.col("node").alias("b")).filter("a <> b"), "same-ids")
+    out = _grouped(texts, nodes.select(F.col("node").alias("id"), "n_shingles", "set_key", "sketch"), same, words, percent)
+    # Nodes back to ids; the smallest id of a component need not be that of its smallest node.
+    real = made.select(F.col("node").alias("id"), F.col("id").alias("real"))
+    out = written(out.join(maybe_broadcast(real), "id", "left").withColumn("real", F.coalesce("real", "id")), "node-groups")
+    least = out.groupBy("component_id").agg(F.min("real").alias("least"))
+    return out.join(least, "component_id", "left").select(F.col("real").alias("id"), "n_shingles", F.col("least").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, sketched: DataFrame, given: DataFrame | None, words: int, percent: int) -> DataFrame:
+    """``id, n_shingles, component_id``; ``given`` links (a, b) hold besides those found."""
     full = sketched.filter("id is not null and set_key is not null")
     classes = full.groupBy("set_key").agg(F.min("id").alias("rep"), F.max("id").alias("last_id"))
     classes = written(classes.filter("last_id > rep").select("set_key", "rep"), "classes")
     shared = maybe_broadcast(classes, classes.count())
-    members = sketched.join(shared, "set_key", "left").select("id", "n_shingles", F.coalesce("rep", F.when(F.col("set_key").isNotNull(), F.col("id"))).alias("rep"), "sketch")
-    reps = members.filter("id = rep").select("id", "n_shingles", "sketch")
+    members = sketched.join(shared, "set_key", "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep"), F.col("set_key").isNotNull().alias("full"), "sketch")
+    reps = members.filter("id = rep and full").select("id", "n_shingles", "sketch")
 
     banded = _bands(reps)
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("size"))
@@ -209,12 +244,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = _unsettled(crowded, nearest(joined), stars, reps, texts, words, percent)
     rest = written(rest.join(first, ["a", "b"], "left_anti"), "cross-pairs")
     across = _links(_compared(rest, texts, words), percent)
+    if given is not None:
+        of = members.select("id", "rep").distinct()
+        ends = given.join(of.select(F.col("id").alias("a"), F.col("rep").alias("x")), "a").join(of.select(F.col("id").alias("b"), F.col("rep").alias("y")), "b")
+        across = across.unionByName(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
     found = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(across))
-
     labelled = members.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
-    out = labelled.select("id", "n_shingles", component.alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep"))
+    return labelled.select("id", "n_shingles", component.alias("component_id"))
 
 
 def _unsettled(crowded: DataFrame, found: DataFrame, stars: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:

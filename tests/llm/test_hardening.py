@@ -133,3 +133,16 @@ def test_clashing_columns_come_back(spark, operator):
     assert [c for c in out.columns if c in docs.columns] == docs.columns
     rows = out.collect()
     assert rows and all(r[n] == n for r in rows for n in names)
+
+
+@pytest.mark.parametrize("shared", [1, 5])
+def test_texts_of_one_id_link_what_either_is_like(spark, shared):
+    """An id with two texts, and an empty one, brings the copies of both together."""
+    one, two = (" ".join(f"{c}{k}" for k in range(60)) for c in "xy")
+    near = lambda t: t.replace("0 ", "zero ", 1)
+    rows = [(shared, one), (shared, two), (shared, ""), (shared, one), (2, near(one)), (3, near(two)), (7, None), (8, "alone here"), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["component_id"]) for r in near_duplicates(docs, words=4).collect()]
+    least = min(shared, 2)
+    want = [(shared, least)] * 4 + [(2, least), (3, least), (7, 7), (8, 8), (None, None)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
