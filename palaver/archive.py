@@ -21,10 +21,10 @@ from palaver.messages import MessageTable
 from palaver.operators import access, paging
 from palaver.operators.dedup import last_wins
 from palaver.plans.sync import run_pass
-from palaver.schemas import CHANNELS, GUILDS, HELD, PROGRESS, QUARANTINE, USERS
-from palaver.sources.landed import ANY_AGE, MAX_BYTES_PER_TRIGGER, ensure_folder, read_lines
-from palaver.storage import newest_generation, no_rows, read_if_there, remove_folder, subfolders
-from palaver.streaming.live import FEEDS, POLLED_FEEDS, release_held, start_feed
+from palaver.schemas import CHANNELS, GUILDS, HELD, PROGRESS, QUARANTINE, SWEPT, USERS
+from palaver.sources.landed import MAX_BYTES_PER_TRIGGER, ensure_folder, read_lines
+from palaver.storage import is_there, newest_generation, no_rows, read_if_there, remove_folder, subfolders
+from palaver.streaming.live import FEEDS, POLLED_FEEDS, release_held, start_feed, sweep
 
 log = logging.getLogger(__name__)
 
@@ -126,6 +126,14 @@ class Archive:
     def _progress(self, feed: str) -> str:
         return f"{self.root}/progress" if feed == "messages" else f"{self.root}/progress_{feed}"
 
+    def swept(self, feed: str) -> DataFrame:
+        """The ledger of landed files that sweeps have taken."""
+        return read_if_there(self.spark, f"{self.root}/swept/{feed}", "parquet", SWEPT)
+
+    def write_swept(self, feed: str, number: int, files: list) -> None:
+        rows = self.spark.createDataFrame([(*file, number) for file in files], SWEPT)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/swept/{feed}")
+
     def held(self, batch_id: int) -> DataFrame:
         """Polled lines that waited for their channel after a batch, as the readers deliver lines."""
         rows = read_if_there(self.spark, f"{self.root}/held/batch_id={batch_id}", "parquet", HELD)
@@ -206,8 +214,9 @@ class ArchiveConfig:
 
     ``landing`` holds the folders ``guilds``, ``channels`` and ``messages`` with JSON lines.
     Changes of a keyed table are folded into its snapshot every ``compact_every`` batches. A file
-    is taken whatever its modification time. A shorter ``max_file_age`` keeps the list of known
-    files short where files are known to land with their time, and passes over older ones.
+    is taken whatever its modification time. With ``finished``, a folder in the file system of ``landing`` but outside of it, files that were
+    taken move there, so that neither the listing nor what the streams remember grows with the archive; files with
+    times older than the streams remember are then taken by a sweep, of ``sweep_files`` at once.
     """
 
     landing: str
@@ -215,7 +224,8 @@ class ArchiveConfig:
     poll_interval_secs: int = 300
     max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER
     max_files_per_trigger: int | None = None
-    max_file_age: str = ANY_AGE
+    finished: str | None = None
+    sweep_files: int = 10_000
     compact_every: int = 100
 
 
@@ -233,10 +243,20 @@ class Archiver:
         """Everything landed so far: guilds, then channels, then messages with their authors."""
         for feed in FEEDS:
             start_feed(self.archive, self.config, feed, once=True).awaitTermination()
+            if self.config.finished is not None:
+                self.sweep(feed)
+
+    def sweep(self, feed: str) -> int:
+        """Take landed files that are too old for the stream of a feed; the number of them."""
+        return sweep(self.archive, self.config, feed, self.config.sweep_files)
 
     def run_polled(self, pass_id: int = 0) -> None:
         """A full pass over all landed files: messages of the channels walked, with the guild of the walk."""
         lines = [read_lines(self.spark, f"{self.config.landing.rstrip('/')}/{feed}") for feed in FEEDS]
+        for k, feed in enumerate(FEEDS):
+            folder = f"{(self.config.finished or '').rstrip('/')}/{feed}"
+            if self.config.finished is not None and is_there(self.spark, folder):
+                lines[k] = lines[k].unionByName(read_lines(self.spark, folder))
         run_pass(self.archive, *lines, pass_id=pass_id)
 
     def run_polled_once(self) -> None:

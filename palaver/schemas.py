@@ -133,6 +133,9 @@ MESSAGES = _struct(
 # Written per micro-batch.
 PROGRESS = _struct(channel_id="long", processed="long", batch_id="long")
 
+# Landed files that a sweep has taken.
+SWEPT = _struct(path="string", modified="timestamp", sweep="long")
+
 # Polled lines whose channel isn't known yet.
 HELD = _struct(raw_json="string", source_file="string")
 

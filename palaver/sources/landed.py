@@ -19,11 +19,17 @@ CORRUPT = "_corrupt_record"
 MAX_BYTES_PER_TRIGGER = 64 * 1024**3
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``value, source_file`` of every landed line below ``path``."""
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``value, source_file`` of every landed line below ``path``, or in a list of files."""
     return _with_file(spark.read.option("recursiveFileLookup", "true").text(path))
 
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, modified`` of every landed file; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.where("length > 0").select("path", F.col("modificationTime").alias("modified"))
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Make an empty landing folder where there is none, as a stream needs one to watch."""
     try:
@@ -34,8 +40,9 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
         spark.range(0).select(F.lit("").alias("value")).write.mode("append").text(path)
 
 
-#: No landed file is passed over for its modification time: restored backups and copies keep old ones.
+#: Restored backups and copies keep old modification times.
 ANY_AGE = "365000d"
+MEMORY_DAYS = 7
 
 
 def stream_lines(
@@ -43,10 +50,19 @@ def stream_lines(
     path: str,
     max_bytes: int = MAX_BYTES_PER_TRIGGER,
     max_files: int | None = None,
-    max_file_age: str = ANY_AGE,
+    finished: str | None = None,
 ) -> DataFrame:
-    """The same as a stream of new files; a trigger takes a bounded amount of them."""
-    reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFileAge", max_file_age)
+    """The same as a stream of new files; a trigger takes a bounded amount of them.
+
+    With ``finished``, files move there when a later trigger begins, and the stream remembers those of ``MEMORY_DAYS`` before the newest
+    one only; files that land with an older time are left to a sweep. Else no file is passed over for its time, and
+    the stream remembers all of them.
+    """
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if finished is None:
+        reader = reader.option("maxFileAge", ANY_AGE)
+    else:
+        reader = reader.option("maxFileAge", f"{MEMORY_DAYS}d").option("cleanSource", "archive").option("sourceArchiveDir", finished)
     if max_files is None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     else:

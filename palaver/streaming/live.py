@@ -28,9 +28,12 @@ from palaver.operators.projections import (
 )
 from palaver.plans.sync import users_met, with_walk_guild
 from palaver.sources.landed import (
+    MEMORY_DAYS,
+    landed_files,
     parse_channels,
     parse_guilds,
     parse_messages,
+    read_lines,
     rejected,
     stream_lines,
     usable,
@@ -168,6 +171,26 @@ def compacting(archive: Archive, feed: str, every: int) -> Batch:
     return apply_and_compact
 
 
+def sweep(archive: Archive, config: ArchiveConfig, feed: str, files_at_once: int) -> int:
+    """Take landed files that are older than the stream of a feed remembers and that no sweep has taken; the number of them.
+
+    A file is taken when its number is in the ledger, which is written after its rows, so a sweep that broke off is repeated
+    under the same number and replaces its rejects. Rows that the stream has stored already are found stored.
+    """
+    folder, taken = f"{config.landing.rstrip('/')}/{feed}", 0
+    while True:
+        ledger = archive.swept(feed)
+        number = 1 + (ledger.agg(F.max("sweep")).first()[0] or 0)
+        old = landed_files(archive.spark, folder).where(F.col("modified") < F.current_timestamp() - F.expr(f"interval {MEMORY_DAYS} days"))
+        found = old.join(ledger, ["path", "modified"], "left_anti").orderBy("path").limit(files_at_once).collect()
+        if not found:
+            return taken
+        # Batches of a stream count from 0 up, those of sweeps from -1 down.
+        FEEDS[feed](archive)(read_lines(archive.spark, [row["path"] for row in found]), -number)
+        archive.write_swept(feed, number, found)
+        taken += len(found)
+
+
 def start_feed(archive: Archive, config: ArchiveConfig, feed: str, once: bool) -> StreamingQuery:
     """Start the query of one feed: up to what has landed, or at each poll interval."""
     lines = stream_lines(
@@ -175,7 +198,7 @@ def start_feed(archive: Archive, config: ArchiveConfig, feed: str, once: bool) -
         f"{config.landing.rstrip('/')}/{'messages' if feed == 'polled' else feed}",
         config.max_bytes_per_trigger,
         config.max_files_per_trigger,
-        config.max_file_age,
+        config.finished and f"{config.finished.rstrip('/')}/{feed}",
     )
     writer = (
         lines.writeStream.queryName(f"archive-{feed}")

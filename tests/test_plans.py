@@ -17,7 +17,7 @@ from tests.conftest import message
 from workbench.queries import REGISTRY
 
 DAY = 86_400_000
-STREAMED = ("stream", "live", "incremental", "bootstrap")
+STREAMED = ("stream", "live", "incremental", "bootstrap", "stored", "written", "polled")
 
 
 def plan(df):

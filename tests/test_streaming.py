@@ -155,3 +155,42 @@ def test_a_feed_that_ended_starts_again_while_the_others_go_on(archiver):
     finally:
         for query in running:
             query.stop()
+
+
+def test_finished_files_leave_and_old_ones_are_swept(archiver, land, tmp_path):
+    """A file dated ten years back lands while the stream runs: it is stored once, and landed files don't pile up."""
+    def age(name, years):
+        for path in (tmp_path / "landing/messages").glob(name):
+            os.utime(path, (time.time() - years * 365 * 86_400,) * 2)
+
+    def waiting():
+        return sorted(p.name for p in (tmp_path / "landing/messages").rglob("*.json"))
+
+    run = archiver(finished=str(tmp_path / "finished"), sweep_files=1)
+    for n in range(3):
+        land([message(n)], "landing/messages")
+        run.run_once()
+        assert len(waiting()) <= 2
+    before = set(waiting())
+    for n in (50, 51):
+        land([message(n), "broken"], "landing/messages")
+    for name in set(waiting()) - before:
+        age(name, 10)
+    run.run_once()
+    assert set(state(run.archive)[0]) == {0, 1, 2, 50, 51}
+    assert run.archive.swept("messages").count() == 2 and run.archive.quarantine("messages").count() == 2
+    assert sorted(r.batch_id for r in run.archive.quarantine("messages").collect()) == [-2, -1]
+    run.run_once()
+    assert run.archive.swept("messages").count() == 2 and run.sweep("messages") == 0
+    # A sweep that broke off before its ledger was written is repeated.
+    land([message(60)], "landing/messages")
+    for name in set(waiting()) - before:
+        age(name, 10)
+    write, run.archive.write_swept = run.archive.write_swept, lambda *_: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        run.sweep("messages")
+    run.archive.write_swept = write
+    assert run.sweep("messages") >= 1
+    assert set(state(run.archive)[0]) == {0, 1, 2, 50, 51, 60}
+    run.run_polled()
+    assert set(state(run.archive)[0]) == {0, 1, 2, 50, 51, 60}
