@@ -9,7 +9,7 @@ The model is fitted on the driver on at most ``SAMPLE`` labelled texts, those wi
 bound. Every text is scored.
 
 Defined cases: null or empty text has no features and scores by the thresholds alone; rows without a label teach nothing; without toxic
-training rows nothing is toxic; repeated rows count as often as they stand; ids may be null. No rows give no rows. Other columns are ignored.
+training rows nothing is toxic; an id teaches once for each label it has, by the smallest of its texts; ids of scored rows may be null. No rows give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +36,32 @@ def features(text: str | None, roller: Roller) -> np.ndarray:
 def _featured(batches):
     roller = Roller(9)
     for batch in batches:
-        rows = [features(t.as_py(), roller) for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["label", "words"])
+        rows = [features(t.as_py(), roller) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(rows, pa.list_(pa.int32()))], names=["id", "label", "words"])
+
+
+class Marks:
+    """Which texts have which marked words: a sparse matrix of ones."""
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, shape: tuple[int, int]):
+        self.rows, self.columns, self.shape = rows, columns, shape
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray], marks: np.ndarray) -> Marks:
+        found = [np.searchsorted(marks, words[np.isin(words, marks)]) for words in texts]
+        rows = np.repeat(np.arange(len(texts)), [len(own) for own in found])
+        return cls(rows, np.concatenate([np.zeros(0, np.int64), *found]), (len(texts), len(marks)))
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """For each text, the weights of its words."""
+        return np.bincount(self.rows, weights[self.columns], minlength=self.shape[0])
+
+    def totals(self, values: np.ndarray) -> np.ndarray:
+        """For each word, the values of its texts."""
+        return np.bincount(self.columns, values[self.rows], minlength=self.shape[1])
 
 
 def marked_words(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
@@ -51,7 +75,7 @@ def marked_words(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return np.flatnonzero((have.sum(axis=0) >= LEAST_TEXTS) & (np.abs(odds / error) >= LEAST_Z) & (odds > 0))
 
 
-def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
+def fit(x: Marks, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and rising thresholds, by Adam on the mean log-likelihood with weight decay."""
     share = np.clip([(grade <= k).mean() for k in range(grades - 1)], 1e-4, 1 - 1e-4)
     cuts = np.log(share / (1 - share))
@@ -61,7 +85,7 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.n
     for step in range(1, STEPS + 1):
         gaps = np.exp(theta[1 : grades - 1])
         cut = theta[0] + np.concatenate(([0], np.cumsum(gaps)))
-        z = cut[None, :] - (x @ theta[grades - 1 :])[:, None]
+        z = cut[None, :] - x.sums(theta[grades - 1 :])[:, None]
         c = np.concatenate((np.zeros((len(x), 1)), logistic(z), np.ones((len(x), 1))), axis=1)
         rows = np.arange(len(x))
         p = np.maximum(1e-9, c[rows, grade + 1] - c[rows, grade])
@@ -73,7 +97,7 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.n
         by_cut = by_cut[:, 1:grades]
         g_cut = by_cut.mean(axis=0)
         tail = np.cumsum(g_cut[::-1])[::-1]
-        g = np.concatenate(([g_cut.sum()], tail[1:] * gaps, -(x.T @ by_cut.sum(axis=1)) / len(x) - DECAY * theta[grades - 1 :]))
+        g = np.concatenate(([g_cut.sum()], tail[1:] * gaps, -x.totals(by_cut.sum(axis=1)) / len(x) - DECAY * theta[grades - 1 :]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta + 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return theta[grades - 1 :], theta[0] + np.concatenate(([0], np.cumsum(np.exp(theta[1 : grades - 1]))))
@@ -82,16 +106,16 @@ def fit(x: np.ndarray, grade: np.ndarray, grades: int) -> tuple[np.ndarray, np.n
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> dict:
     """The model from the texts of ``docs`` with a label of 0 or 1 in ``labels``."""
     chosen = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("label in (0, 1) and id is not null")
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(sample)
+    chosen = chosen.distinct().orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(maybe_broadcast(chosen, sample), "id")
-    found = rows.select("text", "label").limit(sample).mapInArrow(_featured, "label int, words array<int>").toArrow()
+    # One text of each id, so the sample bounds the texts too and is the same in any partitions.
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text"))
+    found = rows.mapInArrow(_featured, f"id {dict(docs.dtypes)[id_col]}, label int, words array<int>").toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
     toxic = np.array(found["label"].to_pylist(), np.int64)
     words = [np.asarray(x.values) for c in found["words"].chunks for x in c]
     marks = marked_words(words, toxic) if toxic.any() and not toxic.all() else np.zeros(0, np.int64)
-    x = np.zeros((len(words), len(marks)))
-    for k, own in enumerate(words):
-        x[k] = np.isin(marks, own)
-    hits = x.sum(axis=1)
+    x = Marks.of(words, marks)
+    hits = x.sums(np.ones(len(marks)))
     cuts = np.quantile(hits[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1)) if toxic.any() else np.zeros(GRADES - 2)
     grade = np.where(toxic == 1, 1 + (hits[:, None] > cuts).sum(axis=1), 0)
     weights, thresholds = fit(x, grade, GRADES) if len(marks) else (np.zeros(0), np.full(GRADES - 1, 50.0))

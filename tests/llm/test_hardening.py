@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from palaver.llm import language
+from palaver.llm import language, toxicity
 from palaver.llm.decontaminate import contamination
 from palaver.llm.mixing import mix_sources
 from palaver.llm.near import near_duplicates
@@ -146,3 +146,18 @@ def test_texts_of_one_id_link_what_either_is_like(spark, shared):
     least = min(shared, 2)
     want = [(shared, least)] * 4 + [(2, least), (3, least), (7, 7), (8, 8), (None, None)]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_toxicity_learns_the_same_from_any_partitions(spark):
+    """Repeated ids and labels, a sample smaller than the labels."""
+    r = random.Random(3)
+    rows = [(i % 150, " ".join(r.choice("abcdefghij") * 3 for _ in range(20)) + " nastyone" * (i % 150 % 4 == 0)) for i in range(300)]
+    known = [(i, int(i % 4 == 0)) for i in range(150)] * 2
+    models = []
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        labels = spark.createDataFrame(known, "doc_id long, toxic int").repartition(parts)
+        models.append(toxicity.learn(docs, labels, sample=120))
+    assert all(len(m["marks"]) for m in models)
+    for model in models[1:]:
+        assert all((model[k] == models[0][k]).all() for k in ("marks", "weights", "thresholds"))

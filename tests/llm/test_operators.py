@@ -417,7 +417,7 @@ def test_ordinal_fit_recovers_order():
     r = np.random.default_rng(2)
     x = r.integers(0, 2, (3000, 3)).astype(float)
     z = x @ np.array([2.0, -1.0, 0.0]) + r.logistic(size=3000)
-    weights, cuts = toxicity.fit(x, np.digitize(z, [0.0, 1.5, 3.0]), 4)
+    weights, cuts = toxicity.fit(toxicity.Marks(*np.nonzero(x), x.shape), np.digitize(z, [0.0, 1.5, 3.0]), 4)
     assert np.allclose(weights, [2.0, -1.0, 0.0], atol=0.3) and np.allclose(cuts, [0.0, 1.5, 3.0], atol=0.3)
 
 
