@@ -4,7 +4,8 @@ An id holds its UTC day, so it always falls into one day. A write makes a new ve
 channel and day, and last, as one small file, the manifest rows that name the days of the version. Readers take the
 versions that the manifest names, so a write that broke off is never seen, and the next one takes its place. A day of many
 versions is compacted: its last versions of equal level become one of the next level, again by one
-manifest file, so a day has a few versions for each level and every row is rewritten once a level.
+manifest file, so a day has a few versions for each level and every row is rewritten once a level. New versions are sorted by
+channel and id; compacted ones by channel and author at once, so that row groups have narrow ranges of both.
 
 The manifest has a row for each version of each day and the summary one for each channel, day and version. Days
 are few (63 bits of id reach over 25,500), so the manifest fits the driver; the summary does not need to.
@@ -15,11 +16,12 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
 from palaver.functions.scalars import created_date
+from palaver.operators.clustering import interleaved
 from palaver.operators.dedup import first_wins
 from palaver.operators.digests import differing, digests, merged_digests
 from palaver.operators.joins import MAX_BROADCAST_ROWS, absent_rows, lookup_join
@@ -218,7 +220,8 @@ class MessageTable:
             if not runs:
                 return
             number = self._next(live)
-            self._write(self._rows(runs).drop("version", "created_date"), number)
+            rows = self._rows(runs).drop("version", "created_date")
+            self._write(rows, number, interleaved(rows, "channel_id", "author_id"))
             counts = dict(self._summarised(number))
             self._commit([(number, day, run[0].level + 1, run[0].number, counts[day]) for day, run in runs.items()])
             for day, run in runs.items():
@@ -248,12 +251,12 @@ class MessageTable:
     def _next(self, live: dict) -> int:
         return 1 + max((v.number for versions in live.values() for v in versions), default=0)
 
-    def _write(self, rows: DataFrame, number: int) -> None:
+    def _write(self, rows: DataFrame, number: int, cluster: Column | None = None) -> None:
         # Rebalancing brings a day together and lets AQE split a day that is too large for a task.
         (
             rows.withColumn("created_date", created_date(F.col("id")))
             .hint("rebalance", "created_date")
-            .sortWithinPartitions("created_date", "channel_id", "id")
+            .sortWithinPartitions("created_date", *([] if cluster is None else [cluster]), "channel_id", "id")
             .write.mode("overwrite")
             .options(**BLOOM_FILTERS)
             .partitionBy("created_date")

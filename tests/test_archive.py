@@ -152,6 +152,36 @@ def test_bounds_and_pages_on_the_table(archive, rows):
     assert [r.id // ID_STEP // DAY for r in archive.timeline(10).collect()] == list(range(1, 8))
 
 
+def test_compacted_days_let_reads_of_an_author_pass_over_row_groups(spark, archive, rows):
+    """A day of many row groups, in which every author writes in every channel."""
+    archive.messages.fan_in = 2
+    key = "parquet.block.size"
+    records = [message(n, channel_id=str(10 + n % 16), author={"id": str(100 + n // 16 % 24), "username": "u"}, content="x" * 200) for n in range(6000)]
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set(key, "65536")
+    hadoop.set("parquet.page.size.row.check.min", "10")
+    hadoop.set("parquet.block.size.row.check.min", "10")
+    try:
+        archive.insert_messages(project_messages(rows(records[::2])))
+        archive.insert_messages(project_messages(rows(records[1::2])))
+    finally:
+        hadoop.unset(key)
+    live = archive.messages.days()
+    assert [v.level for versions in live.values() for v in versions] == [1]
+    newest = max(v.number for versions in live.values() for v in versions)
+    found = {"author_id": [], "channel_id": []}
+    for path in files(archive):
+        if f"version={newest}/" in str(path):
+            for column, groups in found.items():
+                groups += duckdb.sql(f"select stats_min_value::bigint, stats_max_value::bigint from parquet_metadata('{path}') where path_in_schema = '{column}'").fetchall()
+    for column, one in (("author_id", 107), ("channel_id", 13)):
+        groups = found[column]
+        assert len(groups) > 8 and sum(lo <= one <= hi for lo, hi in groups) <= len(groups) / 2, column
+    timeline = [(r.created_at_ms, r.id) for r in archive.timeline(13).collect()]
+    assert timeline == sorted(timeline) and len(timeline) == 375
+    assert archive.author_history(107).count() == sum(r["author"]["id"] == "107" for r in records)
+
+
 def days_read(df):
     return sorted({re.search("created_date=([0-9-]+)", f)[1] for f in df.inputFiles()})
 
