@@ -57,11 +57,11 @@ PATTERNS = {
     "ssn": r"(?<![\p{L}\p{N}+.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "card": r"(?<![\p{L}\p{N}+.-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+.-])[0-9]{20,31}(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,5}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+])\+[0-9]{8,15}(?![\p{L}\p{N}])",
-    "name": rf"(?<!\p{{L}}){TITLES}(?:(?:{PARTICLES}){GAP}){{0,3}}(?:{INITIALS}|{PART})(?:{GAP}(?:(?:{PARTICLES}){GAP}){{0,3}}(?:{INITIALS}|{PART}))*+",
+    "name": rf"(?<!\p{{L}})(?=\p{{Lu}}){TITLES}(?:(?:{PARTICLES}){GAP}){{0,3}}(?:{INITIALS}|{PART})(?:{GAP}(?:(?:{PARTICLES}){GAP}){{0,3}}(?:{INITIALS}|{PART}))*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity has one of; texts without are passed by.
-HINT = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|[0-9a-fA-F]{{32}}|[A-Z]{{2}}[0-9]{{2}}|[0-9a-fA-F]::[0-9a-fA-F]|(?:{HEX}:){{7}}|{TITLE}"
+HINT = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|[0-9a-fA-F]{{32}}|[A-Z]{{2}}[0-9]{{2}}|[0-9a-fA-F]::[0-9a-fA-F]|(?:{HEX}:){{7}}|(?<!\p{{L}})(?=\p{{Lu}}){TITLE}"
 #: Alphabets in which a letter stays: the letters that belong to one, and those it takes its surrogates from.
 ALPHABETS = (
     ("[0-9]", "0123456789"), ("[a-z]", "abcdefghijklmnopqrstuvwxyz"), ("[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
