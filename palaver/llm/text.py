@@ -12,6 +12,8 @@ STEP = 0x9E3779B97F4A7C15
 CHUNK_WORDS = 1 << 16
 #: Words whose numbers a task keeps at hand.
 KNOWN_WORDS = 1 << 18
+#: Words of a text whose numbers are kept; longer texts are numbered by chunk each time.
+HELD_WORDS = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,6 +57,29 @@ class Tokens(dict):
         return number
 
 
+class Numbered:
+    """The numbers of the words of texts; those of the last text stay, as it is often hashed several times."""
+
+    def __init__(self):
+        self.tokens, self.raw, self.numbers = Tokens(), b"", np.zeros(0, WORD)
+
+    def __reduce__(self):
+        return Numbered, ()  # functions that travel to the tasks take none of it along
+
+    def of(self, raw: bytes, first: int, end: int, size: int) -> np.ndarray:
+        words = raw[first:end].split(b" ")
+        return np.fromiter(map(self.tokens.__getitem__, words), WORD, size)
+
+    def whole(self, raw: bytes, size: int) -> np.ndarray:
+        if raw is not self.raw:
+            self.numbers, self.raw = self.of(raw, 0, len(raw), size), raw
+        return self.numbers
+
+
+#: Of the process: the hashes of all seeds share them.
+NUMBERED = Numbered()
+
+
 class Roller:
     """Rabin-Karp hashes modulo 2^64 of every window of k words.
 
@@ -69,7 +94,6 @@ class Roller:
         self._start()
 
     def _start(self) -> None:
-        self.tokens = Tokens()
         powers = np.full(CHUNK_WORDS + 1, self.base, WORD)
         inverses = np.full(CHUNK_WORDS + 1, pow(self.base, -1, 2**64), WORD)
         powers[0] = inverses[0] = 1
@@ -89,10 +113,10 @@ class Roller:
         if n <= 0:
             return np.zeros(0, WORD)
         parts, step = [], max(1, CHUNK_WORDS - k + 1)
+        held = NUMBERED.whole(raw, len(starts)) if len(starts) <= HELD_WORDS else None
         for at in range(0, n, step):
             size = min(n - at, step) + k - 1
-            words = raw[starts[at] : ends[at + size - 1]].split(b" ")
-            numbers = np.fromiter(map(self.tokens.__getitem__, words), WORD, size)
+            numbers = NUMBERED.of(raw, starts[at], ends[at + size - 1], size) if held is None else held[at : at + size]
             prefix = np.zeros(size + 1, WORD)
             np.cumsum(mix(numbers + WORD(self.offset)) * self.powers[:size], out=prefix[1:])
             parts.append(mix((prefix[k:] - prefix[:-k]) * self.inverses[: size - k + 1]))
