@@ -233,7 +233,9 @@ def _grouped(docs: DataFrame, sketched: DataFrame, given: DataFrame | None, word
 
     banded = _bands(reps)
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("size"))
-    crowded = banded.join(buckets.filter("last_id > first_id"), "bucket").select("bucket", "band", "first_id", "size", "id")
+    # Counted, so that few enough buckets meet their members without a shuffle, in which a large bucket is one task.
+    buckets = written(buckets.filter("last_id > first_id"), "crowded")
+    crowded = banded.join(maybe_broadcast(buckets, buckets.count()), "bucket").select("bucket", "band", "first_id", "size", "id")
     crowded = written(crowded, "buckets")
     ids = written(crowded.select("id").distinct(), "bucket-ids")
     texts = written(docs.join(maybe_broadcast(ids, ids.count()), "id", "left_semi"), "bucket-texts")
