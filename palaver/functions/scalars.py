@@ -47,8 +47,8 @@ def discriminator_text(discriminator: Column) -> Column:
 
 
 def json_list(text: Column) -> Column:
-    """JSON text of a list column, ``[]`` where there is none or the text is no JSON array."""
-    return F.when(F.json_array_length(text).isNotNull(), text).otherwise(F.lit("[]"))
+    """JSON text of a list column, ``[]`` where there is none or the text is no JSON array. An empty list is not parsed."""
+    return F.when((text != "[]") & F.json_array_length(text).isNotNull(), text).otherwise(F.lit("[]"))
 
 
 def flag(value: Column) -> Column:

@@ -85,8 +85,7 @@ def parse_messages(lines: DataFrame) -> DataFrame:
     ``author_json``, which is cut out of the line only where a plan uses it."""
     names = LANDED_AUTHOR.fieldNames()
     flat = [F.col(f"author.{n}").alias("author_id" if n == "id" else n) for n in names]
-    author_json = F.get_json_object("raw_json", "$.author").alias("author_json")
-    messages = _parse(lines, LANDED_MESSAGE).select("*", *flat, author_json).drop("author")
+    messages = with_author_json(_parse(lines, LANDED_MESSAGE).select("*", *flat)).drop("author")
     return _with_reason(
         messages,
         required=("id", "channel_id", "author_id"),
@@ -94,6 +93,11 @@ def parse_messages(lines: DataFrame) -> DataFrame:
     )
 
 
+def with_author_json(messages: DataFrame) -> DataFrame:
+    """Parsed messages with the author's own JSON, cut out of their lines."""
+    return messages.withColumn("author_json", F.get_json_object("raw_json", "$.author"))
+
+
 def usable(parsed: DataFrame) -> DataFrame:
     return parsed.where("reject_reason is null").drop("reject_reason", "source_file")
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from palaver.functions.scalars import signed_id
 from palaver.operators.dedup import last_wins
 from palaver.operators.filters import human_authors, message_bearing, not_message_bearing
-from palaver.operators.joins import lookup_join
+from palaver.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from palaver.operators.projections import (
     USER_ORDER,
     project_channels,
@@ -37,6 +37,7 @@ from palaver.sources.landed import (
     rejected,
     stream_lines,
     usable,
+    with_author_json,
 )
 
 if TYPE_CHECKING:
@@ -67,23 +68,58 @@ def channel_batch(archive: Archive) -> Batch:
     return apply
 
 
+#: Columns of parsed messages that some steps read without the others.
+READ_ALONE = ("id", "channel_id", "author_id", "guild_id", "webhook_id", "bot", "arrival_seq", "reject_reason")
+
+
+def _kept(lines: DataFrame) -> DataFrame:
+    """Parsed messages of a batch, kept for its steps: wide columns as one, which costs less to keep than an encoding of each.
+
+    The JSON of authors is cut out where it is wanted, as few are.
+    """
+    parsed = parse_messages(lines).drop("author_json")
+    others = F.struct(*(name for name in parsed.columns if name not in READ_ALONE)).alias("others")
+    return parsed.select(*READ_ALONE, others).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _parsed(kept: DataFrame) -> DataFrame:
+    return kept.select(*READ_ALONE, "others.*")
+
+
+def _newest_arrivals(human: DataFrame) -> DataFrame:
+    """``author, newest_seq, n`` of each author: the last arrival and the number of messages."""
+    return human.groupBy(signed_id(F.col("author_id")).alias("author")).agg(F.max("arrival_seq").alias("newest_seq"), F.count(F.lit(1)).alias("n"))
+
+
+def _users_of(human: DataFrame, newest: DataFrame, authors: int) -> DataFrame:
+    """The newest version of each author. Where authors were measured few, other rows than their last arrivals fall away
+    before any JSON is cut out and rows are ranked."""
+    if authors <= MAX_BROADCAST_ROWS:
+        last = F.broadcast(newest.select("author", "newest_seq"))
+        human = human.join(last, signed_id(F.col("author_id")) == F.col("author")).where("arrival_seq = newest_seq")
+    return last_wins(project_users(with_author_json(human)), order=USER_ORDER)
+
+
 def message_batch(archive: Archive) -> Batch:
     """Authors first, then messages: a message in the archive always has its user."""
 
     def apply(lines: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = _kept(lines)
+        parsed = _parsed(kept)
+        newest = _newest_arrivals(human_authors(usable(parsed))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             archive.write_quarantine("messages", batch_id, rejected(parsed))
             human = human_authors(usable(parsed))
             rows = project_messages(human)
             processed = rows.groupBy("channel_id").agg(F.count(F.lit(1)).alias("processed"))
             archive.write_progress(batch_id, processed)
-            total = human.count()
-            archive.upsert_users(last_wins(project_users(human), order=USER_ORDER))
+            total, authors = newest.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+            archive.upsert_users(_users_of(human, newest, authors))
             archive.insert_messages(rows, batch_rows=total)
             log.info("batch %d: %d messages processed", batch_id, total)
         finally:
-            parsed.unpersist()
+            newest.unpersist()
+            kept.unpersist()
 
     return apply
 
@@ -113,7 +149,8 @@ def polled_batch(archive: Archive) -> Batch:
     """
 
     def apply(lines: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(lines.unionByName(archive.held(batch_id - 1))).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = _kept(lines.unionByName(archive.held(batch_id - 1)))
+        parsed = _parsed(kept)
         try:
             archive.write_quarantine("polled", batch_id, rejected(parsed))
             walk = _walk(archive)
@@ -121,9 +158,9 @@ def polled_batch(archive: Archive) -> Batch:
             known = archive.channels.read().select(F.col("id").alias("channel_id")).unionByName(others).distinct()
             waiting = parsed.where("reject_reason is null").withColumn("channel_id", signed_id(F.col("channel_id")))
             archive.write_held(batch_id, lookup_join(human_authors(waiting), known, "channel_id", "id", "left_anti", known.count()))
-            archive.write_progress(batch_id, _take_polled(archive, usable(parsed), walk), "polled")
+            archive.write_progress(batch_id, _take_polled(archive, with_author_json(usable(parsed)), walk), "polled")
         finally:
-            parsed.unpersist()
+            kept.unpersist()
 
     return apply
 

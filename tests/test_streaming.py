@@ -109,6 +109,26 @@ def test_a_replayed_batch_changes_nothing(spark, archiver, land):
     assert run.archive.quarantine("messages").count() == 1
 
 
+def test_a_batch_keeps_few_columns_and_cuts_out_the_json_of_last_arrivals_only(spark, landed):
+    from palaver.streaming import live
+
+    records = [message(n, seq=n % 5, **user(n % 3, f"v{n}")) for n in range(9)] + [message(20, author={"id": "1", "bot": True})]
+    kept = live._kept(landed(records))
+    try:
+        assert kept.columns == [*live.READ_ALONE, "others"]
+        assert "get_json_object" not in kept._jdf.queryExecution().optimizedPlan().toString()
+        human = live.human_authors(live.usable(live._parsed(kept)))
+        newest = live._newest_arrivals(human)
+        assert {r.author: (r.newest_seq, r.n) for r in newest.collect()} == {0: (3, 3), 1: (4, 3), 2: (3, 3)}
+        few, many = live._users_of(human, newest, 3), live._users_of(human, newest, live.MAX_BROADCAST_ROWS + 1)
+        assert {r.id: (r.username, r.raw_json) for r in few.collect()} == {
+            n: (v, f'{{"id":"{n}","username":"{v}"}}') for n, v in ((0, "v3"), (1, "v4"), (2, "v8"))
+        }
+        assert sorted(few.collect()) == sorted(many.collect())
+    finally:
+        kept.unpersist()
+
+
 def test_feeds_compact_now_and_then(archiver, land):
     for n in range(4):
         land([message(n, **user(7, f"v{n}"))], "landing/messages")

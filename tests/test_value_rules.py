@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
 from palaver.functions import scalars
 from palaver.functions.kinds import CHANNEL_KINDS, MESSAGE_KINDS, kind_name
+from palaver.functions.scalars import json_list
 from palaver.operators.filters import human_authors, message_bearing
 from palaver.operators.projections import (
     project_channels,
@@ -155,3 +157,10 @@ def test_channel_rows_and_filter(spark, landed):
         (7, "Forum", False),
         (8, "Forum", False),
     ]
+
+
+def test_an_empty_list_is_not_parsed(spark):
+    texts = spark.createDataFrame([("[]",), ("[1]",), ("{}",), ("[",), (" []",), (None,)], "text string")
+    rows = texts.select(json_list(F.col("text")).alias("list"))
+    assert [r.list for r in rows.collect()] == ["[]", "[1]", "[]", "[]", " []", "[]"]
+    assert re.search(r"text#\d+ = \[\]", rows._jdf.queryExecution().optimizedPlan().toString())
