@@ -24,7 +24,7 @@ from palaver.functions.scalars import created_date
 from palaver.operators.clustering import interleaved
 from palaver.operators.dedup import first_wins
 from palaver.operators.digests import differing, digests, merged_digests
-from palaver.operators.joins import MAX_BROADCAST_ROWS, absent_rows, lookup_join
+from palaver.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from palaver.operators.merge import insert_first
 from palaver.operators.projections import MESSAGE_ORDER
 from palaver.schemas import DAY_DIGESTS, DAY_VERSIONS, MESSAGES
@@ -190,15 +190,29 @@ class MessageTable:
         return self._new_rows(self._rows(live, days).select("id"), rows.drop("created_date"))
 
     def _new_rows(self, stored: DataFrame, batch: DataFrame, batch_rows: int | None = None) -> DataFrame:
-        """The first row of each id of ``batch`` that is not stored. Ids meet alone; rows of stored ids are never moved or ranked."""
+        """The first row of each id of ``batch`` that is not stored. Ids meet alone; in a large batch only rows of ids that come more
+        than once are ranked, and such rows are limited before they move. Others move to meet the new ids only where the ids to
+        leave out are too many to be sent to all tasks."""
         if batch_rows is not None and batch_rows <= MAX_BROADCAST_ROWS:
             return insert_first(stored, batch, order=MESSAGE_ORDER, batch_rows=batch_rows)
-        path = scratch_dir(self.spark, "new-ids")
-        absent_rows(batch.select("id").distinct(), stored).write.parquet(path)
-        ids = self.spark.read.schema("id long").parquet(path)
-        if ids.count() <= MAX_BROADCAST_ROWS:
-            return first_wins(batch.join(F.broadcast(ids), "id", "left_semi"), order=MESSAGE_ORDER)
-        return first_wins(batch, order=MESSAGE_ORDER).join(ids, "id", "left_semi")
+        path = scratch_dir(self.spark, "batch-ids")
+        counts = batch.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        counts.join(stored.select("id", F.lit(True).alias("stored")), "id", "left").write.parquet(path)
+        ids = self.spark.read.schema("id long, n long, stored boolean").parquet(path)
+        again, known = F.col("n") > 1, F.col("stored").isNotNull()
+        new, repeated, passed_over = ids.agg(F.count_if(~known), F.count_if(again), F.count_if(again | known)).first()
+        if new <= MAX_BROADCAST_ROWS:
+            return first_wins(batch.join(_sent(ids.where(~known)), "id", "left_semi"), order=MESSAGE_ORDER)
+        if repeated > MAX_BROADCAST_ROWS:
+            return first_wins(batch, order=MESSAGE_ORDER).join(ids.where(~known).select("id"), "id", "left_semi")
+        if passed_over <= MAX_BROADCAST_ROWS:
+            once = batch.join(_sent(ids.where(again | known)), "id", "left_anti")
+        else:
+            single = batch.join(_sent(ids.where(again)), "id", "left_anti") if repeated else batch
+            once = single.join(ids.where(~known & ~again).select("id"), "id", "left_semi")
+        if not repeated:
+            return once
+        return once.unionByName(first_wins(batch.join(_sent(ids.where(again & ~known)), "id", "left_semi"), order=MESSAGE_ORDER))
 
     def append(self, rows: DataFrame) -> None:
         """Add rows whose ids are not stored, as one version."""
@@ -299,5 +313,10 @@ def _last_level(versions: list[Version]) -> list[Version]:
     return run[::-1]
 
 
+def _sent(ids: DataFrame) -> DataFrame:
+    """Ids, measured few, for every task."""
+    return F.broadcast(ids.select("id"))
+
+
 def _collected_days(days: DataFrame) -> list[datetime.date]:
     return [row[0] for row in days.distinct().collect()]

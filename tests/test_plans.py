@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from palaver import messages
 from palaver.archive import Archive
 from palaver.operators.dedup import first_wins
 from palaver.operators.filters import human_authors
@@ -60,6 +61,29 @@ def test_only_days_of_the_batch_are_read(spark, tmp_path, landed):
     assert [r.id >> 22 for r in fresh.collect()] == [3 * DAY + 1]
 
 
+@pytest.mark.parametrize("limit", [100, 20, 4, 0])
+def test_large_batches_store_the_first_of_each_new_id(spark, tmp_path, landed, monkeypatch, limit):
+    """Whatever is few enough to be sent to all tasks: new ids, ids to leave out, ids that come again, or none of them."""
+    archive = Archive(spark, str(tmp_path / "tables")).bootstrap()
+    archive.insert_messages(project_messages(usable(parse_messages(landed([message(n, content="old") for n in range(6)])))))
+    once, again = [message(n) for n in range(4, 30)], [message(n, seq=90, content="again") for n in (4, 7, 8)]
+    monkeypatch.setattr(messages, "MAX_BROADCAST_ROWS", limit)
+    batch = project_messages(usable(parse_messages(landed([*again, *again, *once]))))
+    fresh = archive.messages.absent(batch, batch_rows=32)
+    assert sorted((r.id >> 22, r.content) for r in fresh.collect()) == [(n, f"text {n}") for n in range(6, 30)]
+
+
+def test_rows_of_ids_that_come_once_are_not_ranked(spark, tmp_path, landed, monkeypatch):
+    archive = Archive(spark, str(tmp_path / "tables")).bootstrap()
+    archive.insert_messages(project_messages(usable(parse_messages(landed([message(n) for n in range(6)])))))
+    batch = project_messages(usable(parse_messages(landed([message(n) for n in range(4, 30)]))))
+    for limit, moved in ((8, False), (1, True)):
+        monkeypatch.setattr(messages, "MAX_BROADCAST_ROWS", limit)
+        fresh = archive.messages.absent(batch, batch_rows=26)
+        assert "Window" not in plan(fresh) and ("LeftSemi" in plan(fresh)) == moved
+        assert sorted(r.id >> 22 for r in fresh.collect()) == list(range(6, 30))
+
+
 def test_channel_filters_reach_the_scan(spark, tmp_path, landed):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     archive = Archive(spark, str(tmp_path / "tables")).bootstrap()
